@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import natural_key
 from lodestrata.plans import bronze, mapping, silver
+from lodestrata.session import spread, stage
 
 AS_OF = "2024-01-31 00:00:00"
 TODAY = "2024-01-30"
@@ -50,7 +51,7 @@ def padded(number: Column) -> Column:
 
 
 def track_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -151,7 +152,7 @@ def cents() -> Column:
 
 
 def video_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("k", event_k())
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", event_k())
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return events.join(part, F.col("user_id") == F.col("p_partkey"), "left")
 
@@ -219,7 +220,9 @@ def video_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> silver.Silver:
-    audio, video = audio_items(spark, sf_dir), video_items(spark, sf_dir)
+    """All silver tables; the documents are parsed once and staged as items."""
+    audio = stage(audio_items(spark, sf_dir), "items_spotify")
+    video = stage(video_items(spark, sf_dir), "items_youtube")
     return silver.Silver(
         artist=silver.artists(audio),
         album=silver.albums(audio),

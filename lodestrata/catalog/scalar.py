@@ -24,6 +24,7 @@ from lodestrata.functions import (
     strip_at,
     wall_clock_stamp,
 )
+from lodestrata.session import spread
 
 _NORM = unicode_norm("text")
 
@@ -40,7 +41,7 @@ def normalize_text(spark, sf_dir):
         "conversations": F.col("conv_id") * 1000 + F.col("turn"),
     }
     parts = [
-        table(spark, sf_dir, name).select(
+        spread(table(spark, sf_dir, name)).select(
             F.lit(name).alias("origin"), key.alias("id"), normalize("text").alias("normalized")
         )
         for name, key in sources.items()
@@ -205,4 +206,4 @@ def channel_handle(spark, sf_dir):
 
 @query(name="ascii_fold")
 def ascii_fold_query(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", ascii_fold("text").alias("folded"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", ascii_fold("text").alias("folded"))

@@ -11,6 +11,7 @@ from lodestrata.functions import parse_view_count
 from lodestrata.functions.html import elements, elements_containing
 from lodestrata.operators import pages
 from lodestrata.plans import bronze, silver
+from lodestrata.session import spread
 
 
 @query(
@@ -69,7 +70,7 @@ def _video_renderer():
 
 def _search_pages(spark, sf_dir):
     """One search page per event: classic or grid layout, three ways to assign."""
-    events = table(spark, sf_dir, "events").withColumn("k", event_k())
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", event_k())
     c = F.col
     video = F.to_json(F.struct(_video_renderer().alias("videoRenderer")))
     channel = F.to_json(

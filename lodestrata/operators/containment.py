@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.session import stage
+
 GRAM = 4
 BROADCAST_NEEDLES = 200_000
 BROADCAST_CHARS = 32_000_000
@@ -83,16 +85,16 @@ def contains_match(
         needles = needles.filter(F.col(p).isNotNull())
         if not allow_empty:
             needles = needles.filter(F.col(p) != "")
-    needles = needles.dropDuplicates()
-
     size, grams = _needle_grams(parts, gram)
-    needles = needles.withColumn("_grams", grams)
-    # One small pass over the needles: how many, how large, which gram lengths.
+    # The distinct needles are read several times below, so they are written once.
+    needles = stage(needles.dropDuplicates().withColumn("_size", size), "needles")
+    # One small pass over them: how many, how large, which gram lengths.
     facts = needles.agg(
         F.count("*").alias("n"),
         F.sum(F.length(F.concat_ws("", *parts))).alias("chars"),
-        F.collect_set(size).alias("sizes"),
+        F.collect_set("_size").alias("sizes"),
     ).first()
+    needles = needles.withColumn("_grams", grams).drop("_size")
     small = facts.n <= BROADCAST_NEEDLES and (facts.chars or 0) <= BROADCAST_CHARS
     sizes = facts.sizes or [gram]
 

@@ -22,10 +22,15 @@ def json_objects(text: Column | str) -> Column:
 
 
 def explode_items(bronze: DataFrame, items: Column, item_schema: str) -> DataFrame:
-    """Bronze rows -> (raw_id, ingested_at, pos, item), the item parsed."""
-    return bronze.select(
-        "raw_id", "ingested_at", F.posexplode(json_objects(items)).alias("pos", "item_json")
-    ).select("raw_id", "ingested_at", "pos", F.from_json("item_json", item_schema).alias("item"))
+    """Bronze rows -> (raw_id, ingested_at, pos, item), the item parsed.
+
+    The items text is a column of its own before it is taken apart, so the
+    response is parsed once. The items are parsed inside the generator: a filter
+    on a field of the item then cannot slip below it and parse them again.
+    """
+    texts = bronze.select("raw_id", "ingested_at", items.alias("_items"))
+    parsed = F.transform(json_objects("_items"), lambda e: F.from_json(e, item_schema))
+    return texts.select("raw_id", "ingested_at", F.posexplode(parsed).alias("pos", "item"))
 
 
 def has_items(items: Column | str) -> Column:

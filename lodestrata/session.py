@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, name: str = "lodestrata", memory: str = "16g") -> SparkSession:
@@ -41,3 +41,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hadoop_path)
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the file.
+
+    Several readers then share one computation, and a lost executor costs a
+    re-read, not a recomputation. Later reads see only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than that.
+
+    Meant for costly per-row work on a small file. A table of normal size has
+    more splits than there are cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
