@@ -87,7 +87,10 @@ def contains_match(
             needles = needles.filter(F.col(p) != "")
     size, grams = _needle_grams(parts, gram)
     # The distinct needles are read several times below, so they are written once.
-    needles = stage(needles.dropDuplicates().withColumn("_size", size), "needles")
+    distinct = needles.dropDuplicates().withColumns(
+        {"_size": size, "_needle": F.monotonically_increasing_id()}
+    )
+    needles = stage(distinct, "needles")
     # One small pass over them: how many, how large, which gram lengths.
     facts = needles.agg(
         F.count("*").alias("n"),
@@ -105,13 +108,14 @@ def contains_match(
 
 def _rarest(needles: DataFrame, frequency: DataFrame) -> DataFrame:
     """Needle columns with the gram that is least frequent among the texts."""
-    columns = [c for c in needles.columns if c != "_grams"]
-    exploded = needles.select(F.struct(*columns).alias("_needle"), F.explode("_grams").alias("_gram"))
-    rated = exploded.join(frequency, "_gram", "left").withColumn(
-        "_n", F.coalesce("_n", F.lit(0).cast("bigint"))
+    rated = (
+        needles.select("_needle", F.explode("_grams").alias("_gram"))
+        .join(frequency, "_gram", "left")
+        .select("_needle", F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram").alias("_key"))
     )
-    rarest = rated.groupBy("_needle").agg(F.min(F.struct("_n", "_gram")).alias("_key"))
-    return rarest.select("_needle.*", "_key._gram", "_key._n")
+    rarest = rated.groupBy("_needle").agg(F.min("_key").alias("_key"))
+    keyed = rarest.select("_needle", "_key._gram", "_key._n")
+    return needles.drop("_grams").join(keyed, "_needle").drop("_needle")
 
 
 def _probe(

@@ -50,34 +50,40 @@ def song_videos(mapping: DataFrame) -> DataFrame:
 
 
 def _track_side(
-    mapping: DataFrame, track: DataFrame, album: DataFrame, count_empty_isrc: bool
+    mapping: DataFrame,
+    track: DataFrame,
+    album: DataFrame,
+    count_empty_isrc: bool,
+    isrc_list: bool = True,
 ) -> DataFrame:
-    """Per song: what its tracks and their albums say."""
+    """Per song: what its tracks and their albums say.
+
+    The rows are made distinct by (song, track) grouping, which spreads a song
+    with very many tracks over all tasks.
+    """
+    isrc = F.col("spotify_isrc_code") if count_empty_isrc else blank_to_null("spotify_isrc_code")
     rows = (
         mapping.filter(F.col("spotify_track_id").isNotNull())
-        .select(
-            "song_id",
-            *SONG_NAMES,
-            F.col("spotify_track_id").alias("track_id"),
-            F.col("spotify_isrc_code").alias("isrc"),
-        )
-        .distinct()
+        .groupBy(F.col("spotify_track_id").alias("track_id"), "song_id")
+        .agg(*[F.max(c).alias(c) for c in SONG_NAMES], F.max(isrc).alias("isrc"))
     )
-    if not count_empty_isrc:
-        rows = rows.withColumn("isrc", blank_to_null("isrc"))
-    joined = rows.join(track.select("track_id", "album_id", "song_code"), "track_id", "left").join(
+    releases = track.select("track_id", "album_id", "song_code").join(
         album.select("album_id", "album_name", "release_date", "image_url"), "album_id", "left"
     )
-    return joined.groupBy("song_id").agg(
-        *[F.max(c).alias(c) for c in SONG_NAMES],
-        F.max("album_name").alias("album_name"),
-        F.max("release_date").alias("release_date"),
-        F.max("image_url").alias("image_url"),
-        F.max("song_code").alias("track_song_code"),
-        joined_distinct("isrc").alias("isrc_list"),
-        F.countDistinct("isrc").alias("isrcs"),
-        F.countDistinct("track_id").alias("tracks"),
-        F.count("*").alias("track_rows"),
+    codes = F.size(F.collect_set("isrc")) if isrc_list else F.countDistinct("isrc")
+    return (
+        rows.join(releases, "track_id", "left")
+        .groupBy("song_id")
+        .agg(
+            *[F.max(c).alias(c) for c in SONG_NAMES],
+            F.max("album_name").alias("album_name"),
+            F.max("release_date").alias("release_date"),
+            F.max("image_url").alias("image_url"),
+            F.max("song_code").alias("track_song_code"),
+            (joined_distinct("isrc") if isrc_list else F.lit(None).cast("string")).alias("isrc_list"),
+            codes.alias("isrcs"),
+            F.count("*").alias("tracks"),
+        )
     )
 
 
@@ -106,18 +112,21 @@ def dim_song(
     as_of: Column,
     faithful: bool = False,
     count_empty_isrc: bool = False,
+    isrc_list: bool = True,
 ) -> DataFrame:
     """One row per song of the mapping: how many videos, how many ISRCs.
 
     Both sides are reduced to one row per song before they meet, so the join
     neither fans out nor skews, and it reuses the grouping's partitioning.
     ``faithful`` starts from the track side only and multiplies views by the
-    song's track rows.
+    song's tracks. ``isrc_list=False`` leaves the list of codes null, for data
+    where one song may have more codes than fit a cell; the count is exact
+    either way.
     """
-    tracks = _track_side(mapping, track, album, count_empty_isrc)
+    tracks = _track_side(mapping, track, album, count_empty_isrc, isrc_list)
     videos = _video_side(song_videos(mapping), video)
     joined = tracks.join(videos, "song_id", "left" if faithful else "full_outer")
-    views = F.col("views") * F.col("track_rows") if faithful else F.col("views")
+    views = F.col("views") * F.col("tracks") if faithful else F.col("views")
     has_a, has_b = F.col("tracks") > 0, F.col("videos") > 0
     has_a, has_b = F.coalesce(has_a, F.lit(False)), F.coalesce(has_b, F.lit(False))
     title = F.coalesce("song_title_normalized", "video_song_title_normalized")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestrata import schemas
 from lodestrata.functions import is_blank, natural_key, normalize, song_id
 from lodestrata.operators.containment import contains_match
+from lodestrata.session import stage
 
 # Method names and their confidence.
 DIRECT, MATCHED, BY_ISRC, MANUAL = "direct_spotify", "title_artist_fuzzy", "isrc", "manual"
@@ -147,6 +148,8 @@ def song_mapping(
     repeats it for every track of the song, as the source system does.
     ``isrc`` adds links by shared ISRC, ``manual`` rows of a hand-made table.
     """
+    # Read as needles, as direct rows and by the options below: computed once.
+    tracks = stage(tracks, "song_tracks")
     pairs = match_videos(tracks, videos, allow_empty, strategy)
     if per_track:
         pairs = pairs.join(tracks.select("song_id", F.col("track_id").alias("_track")), "song_id")
