@@ -23,6 +23,16 @@ def create_tables(
     return names
 
 
+def by_folder(df: DataFrame, *columns: str) -> DataFrame:
+    """Gather the rows of a partition folder before they are written.
+
+    Without it every task writes a file into every folder. AQE splits a folder
+    that holds most of the rows and packs small ones together, so file sizes
+    stay even whatever the distribution.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def append_new(df: DataFrame, path: str, key: str = "raw_id", day: str = "ingested_at") -> None:
     """Append the rows whose key is not there yet.
 
@@ -33,15 +43,17 @@ def append_new(df: DataFrame, path: str, key: str = "raw_id", day: str = "ingest
     rows = df.withColumn("ingest_date", F.to_date(day))
     if path_exists(spark, path):
         span = rows.agg(F.min("ingest_date").alias("a"), F.max("ingest_date").alias("b")).first()
-        known = spark.read.parquet(path).filter(F.col("ingest_date").between(span.a, span.b))
+        known = spark.read.schema(rows.schema).parquet(path)
+        known = known.filter(F.col("ingest_date").between(span.a, span.b))
         rows = new_rows(known, rows, ["ingest_date", key])
     else:
         rows = rows.dropDuplicates([key])
-    rows.write.mode("append").partitionBy("ingest_date").parquet(path)
+    by_folder(rows, "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
+    rows = by_folder(df, *partition_by) if partition_by else df
+    rows.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> list[str]:
@@ -61,7 +73,8 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
 def write_partitions(df: DataFrame, path: str, by: str = "batch_id") -> None:
     """Replace just the partitions the rows belong to: backfill of one batch."""
     (
-        df.write.mode("overwrite")
+        by_folder(df, by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
         .parquet(path)

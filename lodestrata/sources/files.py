@@ -18,17 +18,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file, the whole file in ``value``. A missing path is no rows."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], "value string")
-    return (
-        spark.read.option("wholetext", True)
-        .option("ignoreMissingFiles", True)
-        .text(path)
-        .select("value")
-    )
+    return spark.read.option("ignoreMissingFiles", True).text(path, wholetext=True).select("value")
 
 
 def read_document_stream(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     """The same as a stream; ``whole=False`` takes one JSON document per line."""
-    return spark.readStream.option("wholetext", whole).text(path).select("value")
+    return spark.readStream.text(path, wholetext=whole).select("value")
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
