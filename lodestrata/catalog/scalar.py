@@ -204,6 +204,9 @@ def channel_handle(spark, sf_dir):
     )
 
 
-@query(name="ascii_fold")
+@query(
+    r"""SELECT doc_id, regexp_replace(strip_accents(text), '[^\x{00}-\x{7f}]', '', 'g') AS folded FROM documents""",
+    name="ascii_fold",
+)
 def ascii_fold_query(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents")).select("doc_id", ascii_fold("text").alias("folded"))

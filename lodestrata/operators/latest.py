@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,17 +16,16 @@ def pick_version(
 ) -> DataFrame:
     """The newest (or oldest) row per key.
 
-    An aggregate, not a window: the map side already reduces every key to one
-    row, so a key that holds a third of the input does not land in one task.
+    A rank filter of one: Spark cuts every key to its first row on the map side
+    already (WindowGroupLimit), so a key that holds a third of the input sends
+    one row per map task, and columns nobody reads are pruned.
     """
     if keep not in ("newest", "oldest"):
         raise ValueError(f"keep must be 'newest' or 'oldest', not {keep!r}")
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.max_by if keep == "newest" else F.min_by
-    picked = df.groupBy(*keys).agg(
-        pick(F.struct(*rest), F.struct(*order)).alias("_row")
-    )
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    ranked = [c.desc() if keep == "newest" else c.asc() for c in order]
+    window = Window.partitionBy(*keys).orderBy(*ranked)
+    first = df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1")
+    return first.drop("_rank")
 
 
 def version_order(keep: str) -> list[Column]:

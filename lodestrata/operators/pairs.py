@@ -1,0 +1,23 @@
+"""Every pair of two lists."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_VALUES = 10_000
+
+
+def every_pair(df: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Each row of ``df`` with each value of ``values[column]``.
+
+    The second list is checked to be short and then travels as one array; the
+    first one is neither shuffled nor copied. Two long lists are refused, as
+    their product is no list any more.
+    """
+    if values.limit(MAX_VALUES + 1).count() > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} values to pair with")
+    listed = values.agg(F.array_sort(F.collect_list(column)).alias("_values"))
+    return df.withColumn("_values", listed.scalar()).select(
+        *df.columns, F.explode("_values").alias(column)
+    )

@@ -225,14 +225,21 @@ def dim_artist(
     else:
         owned = _artist_songs(track_artist, mapping)
         totals = _video_totals(owned, "artist_id", song_videos(mapping))
+
+    def name(column: str) -> Column:
+        # An empty name is no name: it would pair every nameless artist with
+        # every nameless channel.
+        lowered = F.lower(column)
+        return (lowered if faithful else blank_to_null(lowered)).alias("_name")
+
     named = channel.select(
         F.col("channel_id").alias("youtube_channel_id"),
         F.col("channel_name").alias("youtube_channel_name"),
-        F.lower("channel_name").alias("_name"),
+        name("channel_name"),
     )
     rows = (
         artist.join(totals, "artist_id", "left")
-        .withColumn("_name", F.lower("artist_name"))
+        .withColumn("_name", name("artist_name"))
         .join(named, "_name", "left")
         .withColumns(
             {

@@ -8,8 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata import schemas
+from lodestrata.functions import is_blank
 from lodestrata.operators import monitoring, quality
+from lodestrata.operators.merge import insert_if_absent, merge_upsert
 from lodestrata.plans import bronze, gold, mapping, silver
+from lodestrata.session import path_exists
 from lodestrata.sinks.tables import append, append_new, write_partitions
 from lodestrata.sources.tables import register
 
@@ -41,23 +45,56 @@ def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _replaced(spark: SparkSession, df: DataFrame, path: str, work: str) -> DataFrame:
+    """Replace a table by a plan that reads it.
+
+    The new version is complete in the work folder before the old one is
+    touched; a run that dies in between is repeated from there.
+    """
+    _stored(spark, df, work)
+    return _stored(spark, spark.read.parquet(work), path)
+
+
+def _merged(spark: SparkSession, paths: Paths, name: str, new: DataFrame) -> DataFrame:
+    """Known table with a batch's rows merged in, by the table's own rules."""
+    if not path_exists(spark, paths.table(name)):
+        return new
+    old = spark.read.schema(new.schema).parquet(paths.table(name))
+    keys = list(schemas.PRIMARY_KEYS[name])
+    if name in schemas.UPDATED_COLUMNS:
+        return merge_upsert(old, new, keys, schemas.UPDATED_COLUMNS[name])
+    return insert_if_absent(old, new, keys)
+
+
 def run_silver(
-    spark: SparkSession, paths: Paths, batch_id: str, as_of: datetime, keep: str = "newest"
+    spark: SparkSession,
+    paths: Paths,
+    batch_id: str,
+    as_of: datetime,
+    keep: str = "newest",
+    only_batch: bool = False,
 ) -> dict[str, DataFrame]:
-    """Rebuild silver from all of bronze.
+    """Silver tables, mapping, checks and run log.
 
-    Documents are parsed once, into a nested table of items; each entity then
-    reads only the fields it needs of it.
+    By default rebuilt from all of bronze. ``only_batch`` parses the documents
+    of this batch alone and merges them into the tables that are there: the
+    cost of a run then follows the batch.
     """
     work = paths.table(f"_work/{batch_id}")
     audio_bronze = spark.read.parquet(paths.table("bronze_spotify_raw"))
     video_bronze = spark.read.parquet(paths.table("bronze_youtube_raw"))
-    observed = {"spotify": Observation("spotify"), "youtube": Observation("youtube")}
+    if only_batch:
+        audio_bronze = audio_bronze.filter(F.col("batch_id") == batch_id)
+        video_bronze = video_bronze.filter(F.col("batch_id") == batch_id)
+    seen = {"spotify": Observation("spotify"), "youtube": Observation("youtube")}
+    # Documents are parsed once, into a nested table of items; each entity then
+    # reads only the fields it needs of it. The counts come along for free.
     audio = silver.spotify_items(audio_bronze).observe(
-        observed["spotify"], F.count("*").alias("n"), F.count_if(F.col("item.id").isNull() | (F.col("item.id") == "")).alias("bad")
+        seen["spotify"], F.count("*").alias("n"), F.count_if(is_blank("item.id")).alias("bad")
     )
+    no_id = is_blank("item.id.videoId") & is_blank("item.videoId")
     video = silver.youtube_items(video_bronze).observe(
-        observed["youtube"], F.count("*").alias("n"), F.count_if(F.col("item.id.videoId").isNull() & F.col("item.videoId").isNull()).alias("bad")
+        seen["youtube"], F.count("*").alias("n"), F.count_if(no_id).alias("bad")
     )
     audio = _stored(spark, audio, f"{work}/items_spotify")
     video = _stored(spark, video, f"{work}/items_youtube")
@@ -71,9 +108,13 @@ def run_silver(
         channel=silver.channels(video, keep),
         video=silver.videos(video, keep),
     )
-    tables = {
-        name: _stored(spark, df, paths.table(name)) for name, df in entities.tables().items()
-    }
+    tables = {}
+    for name, df in entities.tables().items():
+        if only_batch:
+            merged = _merged(spark, paths, name, df)
+            tables[name] = _replaced(spark, merged, paths.table(name), f"{work}/{name}")
+        else:
+            tables[name] = _stored(spark, df, paths.table(name))
     stamp = F.lit(as_of).cast("timestamp_ntz")
     tracks = mapping.song_tracks(
         mapping.primary_artist_left(
@@ -88,8 +129,8 @@ def run_silver(
 
     checks = quality.silver_checks(tables, batch_id, stamp).withColumn("batch_id", F.lit(batch_id))
     write_partitions(checks, paths.table("silver_data_quality_log"))
-    for platform, seen in observed.items():
-        n, bad = seen.get["n"], seen.get["bad"]
+    for platform, counts in seen.items():
+        n, bad = counts.get["n"], counts.get["bad"]
         row = monitoring.run_log_row(
             spark, batch_id, platform, "success", n, n - bad, bad, as_of, datetime.now()
         )

@@ -238,3 +238,25 @@ def test_medallion_run_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(f"{root}/bronze_spotify_raw_quarantine").count() == 1
     failed = spark.read.parquet(f"{root}/silver_data_quality_log").filter("status = 'fail'")
     assert failed.count() == 0
+
+
+def test_batch_merge_follows_the_update_rules(spark, tmp_path):
+    paths = medallion.Paths(str(tmp_path / "lake"))
+
+    def land(batch, day, name, views):
+        track = {"id": "t1", "name": name, "disc_number": day, "external_ids": {"isrc": f"I{day}"}}
+        video = {"id": {"videoId": "v1"}, "snippet": {"title": f"title {day}"}, "statistics": {"viewCount": views}}
+        texts = {"spotify": json.dumps({"tracks": {"items": track}}), "youtube": json.dumps({"items": video})}
+        rows = {
+            k: as_messages(spark.createDataFrame([(v,)], "value string"), ingested_at=now(f"2024-01-0{day}"))
+            for k, v in texts.items()
+        }
+        medallion.run_bronze(rows, paths, batch)
+        return medallion.run_silver(spark, paths, batch, datetime(2024, 1, day), only_batch=True)
+
+    land("b1", 1, "Old", "10 views")
+    tables = land("b2", 2, "New", "20 views")
+    track, video = tables["silver_spotify_track"].first(), tables["silver_youtube_video"].first()
+    assert (track.track_name, track.isrc_code, track.disc_number) == ("New", "I2", 1)
+    assert (video.title, video.view_count) == ("title 1", 20)
+    assert tables["silver_song_mapping"].count() == 1

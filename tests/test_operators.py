@@ -8,6 +8,7 @@ from lodestrata.functions import cache_key
 from lodestrata.operators import backlog, monitoring, pages, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
+from lodestrata.operators.pairs import every_pair
 
 
 def at(text):
@@ -53,7 +54,15 @@ def test_pick_version(spark):
 def test_pick_version_combines_before_the_shuffle(spark):
     plan = pick_version(spark.range(10).selectExpr("id % 2 AS k", "id AS v"), ["k"], [F.col("v")])
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.index("max_by") < text.index("Exchange") < text.index("partial_max_by")
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_every_pair(spark, monkeypatch):
+    a, b = spark.range(2), spark.createDataFrame([("x",), ("y",), ("x",)], "v string")
+    assert sorted(map(tuple, every_pair(a, b, "v").collect())) == [(i, v) for i in (0, 1) for v in ("x", "x", "y")]
+    monkeypatch.setattr("lodestrata.operators.pairs.MAX_VALUES", 2)
+    with pytest.raises(ValueError):
+        every_pair(a, b, "v")
 
 
 # Quality ------------------------------------------------------------------------
