@@ -8,6 +8,7 @@ from lodestrata import schemas
 from lodestrata.catalog import roles
 from lodestrata.catalog.registry import query
 from lodestrata.catalog.roles import ALBUM, ARTIST, BATCH, DOCS, TRACK, VIDEO, table, text
+from lodestrata.functions import utc_instant
 from lodestrata.operators.documents import explode_items, has_item_list, has_items
 from lodestrata.operators.latest import newest_rows, pick_version
 from lodestrata.plans import bronze, mapping, silver
@@ -57,7 +58,7 @@ def topic_routing(spark, sf_dir):
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.encode("props", "UTF-8").alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc_instant("ts").alias("timestamp"),
     )
     routed = bronze.route_topics(
         bronze.from_topic(rows), {"spotify": "raw_spotify", "youtube": "raw_youtube"}, BATCH

@@ -22,6 +22,7 @@ from lodestrata.functions import (
     release_date,
     song_id,
     strip_at,
+    utc_instant,
     wall_clock_stamp,
 )
 from lodestrata.session import spread
@@ -161,11 +162,9 @@ def release_date_precision(spark, sf_dir):
 )
 def audit_stamp(spark, sf_dir):
     end = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    # The stored time has no zone; read as UTC whatever the session's zone is.
-    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     return table(spark, sf_dir, "events").select(
         "event_id",
-        wall_clock_stamp(instant).alias("stamp"),
+        wall_clock_stamp(utc_instant("ts")).alias("stamp"),
         elapsed_seconds("ts", end).alias("seconds_left"),
     )
 

@@ -4,6 +4,8 @@ from lodestrata.functions.dates import (
     elapsed_seconds,
     parse_published,
     release_date,
+    utc_instant,
+    utc_wall,
     wall_clock,
     wall_clock_stamp,
 )
@@ -45,6 +47,8 @@ __all__ = [
     "strip_at",
     "strip_space",
     "success_rate",
+    "utc_instant",
+    "utc_wall",
     "wall_clock",
     "wall_clock_stamp",
 ]

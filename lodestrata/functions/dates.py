@@ -14,14 +14,34 @@ STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 _AGO = r"(?i)\b(\d+|an?)\s+(second|minute|hour|day|week|month|year)s?\s+ago\b"
 
 
-def wall_clock(instant: Column | None = None, zone: str = WALL_CLOCK_ZONE) -> Column:
-    """Local wall-clock time of an instant, without a zone.
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _micros(wall: Column) -> Column:
+    """Microseconds since 1970 of a zone-less time.
 
-    The shift is done on the zone-less value, so the session zone has no say
-    beyond telling which instant a TIMESTAMP shows.
+    Put together from its fields: the difference functions would read the time
+    in the session's zone, where some hours are missing or come twice.
     """
+    minutes = F.unix_date(F.to_date(wall)).cast("bigint") * 1440 + F.hour(wall) * 60 + F.minute(wall)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("bigint")
+
+
+def utc_instant(wall: Column | str) -> Column:
+    """Instant of a zone-less time that is meant in UTC, whatever the session's zone."""
+    return F.timestamp_micros(_micros(as_column(wall).cast("timestamp_ntz")))
+
+
+def utc_wall(instant: Column | str) -> Column:
+    """Zone-less UTC time of an instant; goes by the clock count, so no hour is ambiguous."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_column(instant)), _epoch())
+
+
+def wall_clock(instant: Column | None = None, zone: str = WALL_CLOCK_ZONE) -> Column:
+    """Local wall-clock time of an instant, without a zone."""
     instant = F.current_timestamp() if instant is None else instant
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall(instant))
 
 
 def wall_clock_stamp(instant: Column | None = None, zone: str = WALL_CLOCK_ZONE) -> Column:
@@ -66,5 +86,7 @@ def release_date(text: Column | str, precision: Column | str) -> Column:
 
 
 def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
-    """Whole seconds between two timestamps."""
-    return F.timestamp_diff("SECOND", as_column(start), as_column(end))
+    """Whole seconds between two zone-less times, fractions cut off."""
+    a, b = (as_column(c).cast("timestamp_ntz") for c in (start, end))
+    span = _micros(b) - _micros(a)
+    return ((span - span % 1_000_000) / 1_000_000).cast("bigint")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.functions import utc_wall
 from lodestrata.operators.latest import pick_version
 from lodestrata.streaming.epochs import batch_label, run_available, write_epoch
 
@@ -64,12 +65,15 @@ def compact(
 def stream_daily(
     stream: DataFrame, path: str, checkpoint: str, delay: str = "7 days", day: str = "ts"
 ) -> None:
-    """Rows per day and source from a stream, late rows included up to ``delay``."""
+    """Rows per UTC day and source from a stream, late rows included up to ``delay``.
+
+    ``day`` is an instant; make one of a zone-less time with ``utc_instant``.
+    """
     counts = (
         stream.withWatermark(day, delay)
         .groupBy(F.window(day, "1 day").alias("w"), "source")
         .agg(F.count("*").alias("row_count"))
-        .select(F.to_date("w.start").alias("date"), "source", "row_count")
+        .select(F.to_date(utc_wall("w.start")).alias("date"), "source", "row_count")
     )
 
     def each(batch: DataFrame, epoch: int) -> None:

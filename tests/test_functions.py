@@ -189,3 +189,19 @@ def test_embedded_json(spark, html, expected):
 def test_elements(spark):
     html = "<ul><li class='a'>one</li><LI>two\nlines</LI><link>no</link></ul>"
     assert column(spark, elements("x", "li"), html) == ["one", "two\nlines"]
+
+
+def test_instants_do_not_depend_on_the_session_zone(spark):
+    texts = ["2024-03-10 02:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00.123456", "1969-12-31 23:59:59"]
+    wall = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            instant = X.utc_instant("t")
+            rows = wall.select(
+                "t", X.utc_wall(instant).alias("back"), X.wall_clock(instant).alias("local")
+            ).collect()
+            assert all(r.t == r.back and (r.local - r.t).total_seconds() == 7 * 3600 for r in rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
