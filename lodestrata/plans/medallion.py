@@ -14,7 +14,7 @@ from lodestrata.operators import monitoring, quality
 from lodestrata.operators.merge import insert_if_absent, merge_upsert
 from lodestrata.plans import bronze, gold, mapping, silver
 from lodestrata.session import path_exists
-from lodestrata.sinks.tables import append, append_new, write_partitions
+from lodestrata.sinks.tables import append, append_new, day_span, write_partitions
 from lodestrata.sources.tables import register
 
 
@@ -33,16 +33,20 @@ def run_bronze(
 ) -> None:
     """Land messages per platform; undecodable ones go to the quarantine table."""
     for platform, rows in messages.items():
+        # Taken before anything is decoded, so the payload is parsed once only.
+        span = day_span(rows)
         good, bad = bronze.split_undecodable(rows)
         table = bronze.BRONZE_TABLES[platform]
-        append_new(bronze.ENVELOPES[platform](good, batch_id), paths.table(table))
-        append_new(bad.select("raw_id", "value", "ingested_at", "reason"), paths.table(f"{table}_quarantine"))
+        landed = bronze.ENVELOPES[platform](good, batch_id)
+        append_new(landed, paths.table(table), span=span)
+        aside = bad.select("raw_id", "value", "ingested_at", "reason")
+        append_new(aside, paths.table(f"{table}_quarantine"), span=span)
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a table and go on from the file: later steps do not redo the work."""
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _replaced(spark: SparkSession, df: DataFrame, path: str, work: str) -> DataFrame:
