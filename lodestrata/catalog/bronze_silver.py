@@ -100,8 +100,8 @@ def object_or_array(spark, sf_dir):
 
 
 @query(
-    """SELECT event_type, count(*) AS responses, count_if(event_type NOT IN ('error', 'signup')) AS valid,
-      count_if(event_type IN ('view', 'purchase')) AS valid_list FROM events GROUP BY 1"""
+    """SELECT event_type, count(*) AS responses, count_if(event_type NOT IN ('error', 'signup'))::BIGINT AS valid,
+      count_if(event_type IN ('view', 'purchase'))::BIGINT AS valid_list FROM events GROUP BY 1"""
 )
 def response_validity(spark, sf_dir):
     """Which responses hold items: object and list forms, empty and missing ones."""

@@ -187,7 +187,7 @@ def _log(df):
 
 def _sql_check(table_name: str, kind: str, bad: str, severity: str, name: str, source: str) -> str:
     return f"""SELECT '{table_name}' AS table_name, '{kind}' AS check_type,
-      CASE WHEN n = 0 THEN 'pass' ELSE '{severity}' END AS status, n AS affected_rows,
+      CASE WHEN n = 0 THEN 'pass' ELSE '{severity}' END AS status, n::BIGINT AS affected_rows,
       'batch-1' AS batch_id, '{name}' AS name FROM (SELECT {bad} AS n FROM {source})"""
 
 
@@ -302,7 +302,8 @@ def dq_log(spark, sf_dir):
 
 
 @query(
-    """SELECT l_returnflag, count_if(l_quantity > 45) AS rejected, count_if(NOT l_quantity > 45) AS accepted
+    """SELECT l_returnflag, count_if(l_quantity > 45)::BIGINT AS rejected,
+      count_if(NOT l_quantity > 45)::BIGINT AS accepted
     FROM lineitem GROUP BY 1"""
 )
 def dq_reject_split(spark, sf_dir):
@@ -624,7 +625,7 @@ def run_counters(spark, sf_dir):
 
 
 @query(
-    """SELECT n_regionkey, count(*) AS nations, count_if(n_name = '') AS blank FROM nation GROUP BY 1"""
+    """SELECT n_regionkey, count(*) AS nations, count_if(n_name = '')::BIGINT AS blank FROM nation GROUP BY 1"""
 )
 def blank_count(spark, sf_dir):
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(

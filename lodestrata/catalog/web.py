@@ -16,7 +16,7 @@ from lodestrata.session import spread
 
 @query(
     r"""SELECT page_id, pos, script, contains(script, 'track(') AS tracking FROM (
-      SELECT page_id, unnest(s) AS script, generate_subscripts(s, 1) - 1 AS pos FROM (
+      SELECT page_id, unnest(s) AS script, (generate_subscripts(s, 1) - 1)::INT AS pos FROM (
         SELECT page_id, regexp_extract_all(html, '(?is)<script\b[^>]*>(.*?)</script\s*>', 1) AS s FROM pages))"""
 )
 def page_scripts(spark, sf_dir):
