@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import decontamination, licenses
+from lodestrata.llm import decontamination, licenses, sharding, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op1_url_filter", url_filter.ORACLE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op6_sharding", sharding.ORACLE_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op3_topk_search", topk.ORACLE_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
