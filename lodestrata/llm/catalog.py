@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestrata.llm import decontamination, licenses, sharding, topk, url_filter
+from lodestrata.llm import decontamination, licenses, sharding, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_topk_search", topk.ORACLE_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(documents, labels, ~held_out)
+    scored = toxicity.score(documents, model)
+    held = F.coalesce(held_out, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted")
