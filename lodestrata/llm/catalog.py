@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import decontamination, licenses, sharding, topk, toxicity, url_filter
+from lodestrata.llm import (
+    decontamination,
+    jaccard_join,
+    licenses,
+    sharding,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +69,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(documents, model)
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held, "score", "predicted")
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
