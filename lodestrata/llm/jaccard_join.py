@@ -201,6 +201,20 @@ def _shared(classes: DataFrame, levels) -> DataFrame:
     return rare.mapInArrow(repeated, schema).unionAll(rows.where("level > 0"))
 
 
+def _enough(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows of classes that share as many shingles with others as one partner would need.
+
+    The smallest partner of a set of n has `_needed(n)` shingles. Classes that fall out
+    may leave others alone with their shingles, so a second round finds more.
+    """
+    held = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    left = shared.join(held.select("token"), "token", "left_semi")
+    least = F.floor((F.floor((F.col("n") * percent + 99) / 100)) / 20) + 1
+    enough = left.groupBy("node").agg(F.count(F.lit(1)).alias("tokens"))
+    enough = enough.join(classes.select("node", "n"), "node").where(F.col("tokens") >= least)
+    return left.join(enough.select("node"), "node", "left_semi")
+
+
 def _with_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The sets (binary) of the wanted classes, from one text of each."""
 
@@ -365,23 +379,20 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
     levels = spark.sparkContext.broadcast(frequency_levels(docs, size))
     digests = stage(_digest(docs, size, percent, levels), "digests")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    classes = (
-        digests.where("n > 0")
-        .groupBy("node")
-        .agg(
-            F.min(least).alias("least"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("n").alias("n"),
-            F.first("begin").alias("begin"),
-        )
+    filled = digests.where("n > 0")
+    classes = filled.groupBy("node").agg(
+        F.min(least).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")
     )
     classes = stage(classes, "classes")
-    shared = stage(_shared(classes, levels), "shared")
+    begins = filled.groupBy("node").agg(F.first("begin").alias("begin"))
+    shared = stage(_shared(begins, levels), "shared")
+    for _ in range(2):
+        shared = stage(_enough(shared, classes, percent), "shared")
     held = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     home = F.max(F.struct("m", "token"))
     wanted = shared.join(held, "token").groupBy("node").agg(home.alias("top"))
     wanted = wanted.select("node", F.col("top.token").alias("home"))
-    wanted = wanted.join(classes.drop("begin"), "node")
+    wanted = wanted.join(classes, "node")
     members = stage(
         wanted.join(_with_sets(docs, wanted, size), "node").select(
             "node", "home", "copies", "n", "tokens"

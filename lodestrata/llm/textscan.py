@@ -12,6 +12,7 @@ Null texts count as empty. Nothing is cut: a text of any length is scanned whole
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +40,16 @@ _LONG = 64
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch size to BATCH_ROWS, if it is higher."""
+    """Lower the session's Arrow batch size to BATCH_ROWS, if it is higher.
+
+    Also names this package's folder to Python workers that start from now on, for
+    drivers that have it on their path only by `sys.path`.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > BATCH_ROWS:
