@@ -11,6 +11,7 @@ from lodestrata.llm import (
     decontamination,
     jaccard_join,
     licenses,
+    lm_score,
     sharding,
     topk,
     toxicity,
@@ -75,3 +76,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.join_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    scored = lm_score.score(table(spark, sf_dir, "documents"), rest != 2)
+    return scored.select(
+        "doc_id",
+        F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
