@@ -12,6 +12,7 @@ from lodestrata.llm import (
     jaccard_join,
     licenses,
     lm_score,
+    pii,
     sharding,
     topk,
     toxicity,
@@ -91,3 +92,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pii.find(documents, pii.train(documents))
