@@ -13,6 +13,7 @@ from lodestrata.llm import (
     licenses,
     lm_score,
     pii,
+    sentencepieces,
     sharding,
     topk,
     toxicity,
@@ -98,3 +99,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pii.find(documents, pii.train(documents))
+
+
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepieces.add_pieces(documents, sentencepieces.load())
+    return coded.select("doc_id", "n_pieces", "round_trip", "piece_ids")
