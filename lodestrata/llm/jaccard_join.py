@@ -476,12 +476,17 @@ def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
     stay = found.select(
         F.col("survivor.doc_id").alias("_id"), F.col("survivor.text_key").alias("_key")
     ).distinct()
-    wordless = ~F.coalesce(docs["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    marked = docs.withColumn("_text_key", F.xxhash64(docs["text"]))
-    kept = marked.where(~wordless).join(
+    # whole rows in one column, so that no column of the documents can clash
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("_doc"),
+        F.xxhash64("text").alias("_text_key"),
+        F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("_words"),
+    )
+    one = marked.where("_words").join(
         stay,
-        marked["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
+        F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
         "left_semi",
     )
-    kept = kept.dropDuplicates(["doc_id", "_text_key"])
-    return kept.select(*docs.columns).unionAll(docs.where(wordless))
+    one = one.dropDuplicates(["_doc", "_text_key"])
+    return one.select("row.*").unionAll(marked.where("NOT _words").select("row.*"))

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lodestrata.llm.textscan import bounded_batches, mix
 
@@ -257,15 +258,18 @@ def _gathered(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.Reco
 
 
 def add_pieces(docs: DataFrame, pieces: Pieces, ids_name: str = "piece_ids") -> DataFrame:
-    """The documents with their piece ids, their number, and whether decoding gives the text."""
+    """The documents with their piece ids, their number, and whether decoding gives the text.
+
+    A name that the documents already have gets an underscore more.
+    """
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(pieces)
     place = docs.columns.index("text")
     names = [ids_name, "n_pieces", "round_trip"]
-    clash = set(names) & set(docs.columns)
-    if clash:
-        raise ValueError(f"the documents already have columns {sorted(clash)}")
+    for i in range(len(names)):
+        while names[i] in docs.columns:
+            names[i] += "_"
 
     def run(batches):
         for batch in _gathered(batches, place):
@@ -286,5 +290,8 @@ def add_pieces(docs: DataFrame, pieces: Pieces, ids_name: str = "piece_ids") ->
                 [*batch.schema.names, *names],
             )
 
-    schema = docs.schema.add(ids_name, "array<int>").add("n_pieces", "long").add("round_trip", "boolean")
+    schema = T.StructType(list(docs.schema.fields))
+    kinds = (T.ArrayType(T.IntegerType()), T.LongType(), T.BooleanType())
+    for name, kind in zip(names, kinds, strict=True):
+        schema = schema.add(name, kind)
     return docs.mapInArrow(run, schema)
