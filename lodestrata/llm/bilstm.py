@@ -9,14 +9,14 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CODES = 130
+CODES = 129
 HIDDEN = 16
 
 
 def codes_of(text: str) -> np.ndarray:
-    """1 + ASCII code, 129 for every other character; 0 is padding."""
+    """The ASCII code, or 128 for every other character; 0 also stands outside of a text."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    return np.where(points < 128, points + 1, CODES - 1).astype(np.int64)
+    return np.minimum(points, CODES - 1).astype(np.int64)
 
 
 def _sigmoid(x):

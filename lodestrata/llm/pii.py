@@ -166,19 +166,22 @@ def _sample(docs: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_DOCS / total))
 
     def windows(text):
-        spans = base_spans(text)
-        tags = _tags(len(text), spans)
-        for number, m in enumerate(_TRIGGER.finditer(text)):
-            if number >= 8:  # of one document; this is a training sample
-                break
-            a = m.start() - 7 - (m.start() * 13 + len(text)) % (WIDTH // 2)
-            lo, hi = max(a, 0), min(max(a, 0) + WIDTH, len(text))
-            own, marks = text[lo:hi], tags[lo:hi]
+        tags = _tags(len(text), base_spans(text))
+        starts = _window_starts(text)
+        starts = starts[(starts > -WIDTH) & (starts < len(text))]
+        if len(starts) > 8:  # of one document; this is a training sample
+            starts = starts[np.linspace(0, len(starts) - 1, 8).astype(int)]
+        for at in starts.tolist():
+            lo, hi = max(at, 0), min(at + WIDTH, len(text))
+            before, after = max(-at, 0), at + WIDTH - hi
+            own = "\0" * before + text[lo:hi] + "\0" * after
+            marks = np.pad(tags[lo:hi], (before, after))
             yield own, marks
             # the same without the plus sign, while the digits keep their tag
             plus = [i for i in np.flatnonzero(marks == 4) if own[i] == "+"]
             if plus:
-                yield own[: plus[0]] + own[plus[0] + 1 :], np.delete(marks, plus[0])
+                i = plus[0]
+                yield own[:i] + own[i + 1 :] + "\0", np.append(np.delete(marks, i), 0)
 
     def run(batches):
         for batch in batches:

@@ -175,6 +175,8 @@ def _walk(points, length_of, id_of) -> tuple[np.ndarray, np.ndarray]:
 
 def encode_words(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words one after the other, and the words' bounds."""
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
     lengths = np.array([len(w) for w in words], np.int64)
     order = np.argsort(lengths, kind="stable")
     points = _points("".join([words[i] for i in order]))
