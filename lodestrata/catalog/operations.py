@@ -24,7 +24,6 @@ from lodestrata.functions import is_blank
 from lodestrata.operators import backlog, monitoring, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
-from lodestrata.operators.pairs import every_pair
 from lodestrata.session import shared_folder
 from lodestrata.sinks.messages import bulk_rows, message_rows
 from lodestrata.sinks.tables import staging_rows, write_partitions
@@ -170,13 +169,6 @@ def point_lookup(spark, sf_dir):
     return find_one(table(spark, sf_dir, "supplier"), F.col("s_name") == "Supplier#000000003")
 
 
-@query("""SELECT r_name, n_name FROM region, nation""")
-def cross_product(spark, sf_dir):
-    """Every pair of two lists; the longer list stays distributed."""
-    regions = table(spark, sf_dir, "region")
-    return every_pair(table(spark, sf_dir, "nation").select("n_name"), regions, "r_name")
-
-
 # Data quality ------------------------------------------------------------------------
 
 

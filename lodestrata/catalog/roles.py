@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import natural_key
 from lodestrata.plans import bronze, mapping, silver
-from lodestrata.session import spread, stage
+from lodestrata.session import shared_folder, spread, stage
 
 AS_OF = "2024-01-31 00:00:00"
 TODAY = "2024-01-30"
@@ -24,10 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a file stream; the pattern lets the path be one file."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+def table_stream(spark: SparkSession, sf_dir: str, name: str, batches: int = 4) -> DataFrame:
+    """A driver table as a file stream of about `batches` micro-batches."""
+    rows = table(spark, sf_dir, name)
+    files = max(batches, rows.rdd.getNumPartitions())
+    path = f"{shared_folder(spark)}/{name}"
+    rows.repartition(files).write.parquet(path)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // batches))
+    return reader.parquet(path)
 
 
 def as_of() -> Column:

@@ -16,6 +16,7 @@ from lodestrata.functions.text import (
     cache_key,
     generate_id,
     is_blank,
+    is_json,
     natural_key,
     normalize,
     or_default,
@@ -34,6 +35,7 @@ __all__ = [
     "elapsed_seconds",
     "generate_id",
     "is_blank",
+    "is_json",
     "natural_key",
     "normalize",
     "or_default",

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestrata.functions.text import as_column
+from lodestrata.functions.text import as_column, is_json
 
-# How a page assigns its data, tried in this order.
+# The variable that holds a page's data, and how it may be named.
 MARKER = "ytInitialData"
-ASSIGNMENTS = (
-    r"var\s+ytInitialData\s*=\s*",
-    r"window\[\"ytInitialData\"\]\s*=\s*",
-    r"ytInitialData\s*=\s*",
-)
+TARGETS = (f"var {MARKER}", f'window["{MARKER}"]', MARKER)
+
+
+def _assignment() -> str:
+    """A script that is one assignment to a target; group 1 is the right-hand side."""
+    names = [re.escape(t).replace(r"\ ", r"\s+").replace('"', "[\"']") for t in TARGETS]
+    return rf"(?s)^\s*(?:{'|'.join(names)})\s*=\s*(.*?)[\s;]*$"
 
 
 def elements(html: Column | str, tag: str) -> Column:
@@ -28,26 +32,17 @@ def elements_containing(html: Column | str, tag: str, text: str) -> Column:
 
 
 def embedded_json(html: Column | str) -> Column:
-    """Text of the JSON document a page assigns in a script, null if none parses.
+    """Text of the JSON document a page assigns in a script, null if there is none.
 
-    A script counts when it is nothing but one of the known assignments. The
-    first one whose right-hand side is valid JSON wins.
+    The first script counts that is an assignment from its first character on, with
+    a JSON value and nothing else on its right. The value is taken as it stands: what
+    looks like the assignment inside of it stays.
     """
-    scripts = elements_containing(html, "script", MARKER)
-
-    def candidates(script: Column) -> Column:
-        tail_cut = [
-            F.when(
-                F.regexp_like(script, F.lit(p)),
-                F.regexp_replace(F.regexp_replace(script, p, ""), r"\s*;\s*$", ""),
-            )
-            for p in ASSIGNMENTS
-        ]
-        return F.array(*tail_cut)
-
-    found = F.flatten(F.transform(scripts, candidates))
-    valid = F.filter(found, lambda c: F.try_parse_json(c).isNotNull())
-    return F.get(valid, F.lit(0))
+    values = F.transform(
+        elements_containing(html, "script", MARKER),
+        lambda script: F.regexp_extract(script, _assignment(), 1),
+    )
+    return F.get(F.filter(values, is_json), F.lit(0))
 
 
 def joined_runs(runs: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Java's Unicode whitespace class lacks the four ASCII separators \x1c-\x1f that
 # the source data's own normaliser treats as space, so they are listed by hand.
@@ -46,6 +46,25 @@ def generate_id(value: Column | str) -> Column:
     return F.md5(as_column(value).cast("string"))
 
 
+def is_json(value: Column | str) -> Column:
+    """Whether a text is one JSON value and nothing else; false for null.
+
+    The text is put into an object with a seal behind it. The seal, its own digest, is
+    read back only if the parser came to the end of the value and found just the seal
+    there. Repeated keys are JSON; there is no limit on the size.
+    """
+    c = as_column(value)
+    seal = F.md5(c)
+    whole = F.concat(F.lit('{"value":'), c, F.lit(',"seal":"'), seal, F.lit('"}'))
+    limits = {
+        "allowSingleQuotes": "false",
+        "maxStringLen": str(2**31 - 1),
+        "maxNestingDepth": "100000",
+    }
+    read = F.from_json(whole, "seal STRING", limits)["seal"]
+    return F.coalesce(read == seal, F.lit(False))
+
+
 def cache_key(prefix: str, identifier: Column | str) -> Column:
     return F.concat(F.lit(f"crawler:{prefix}:"), generate_id(identifier))
 
@@ -79,18 +98,33 @@ def strip_at(handle: Column | str) -> Column:
     return F.regexp_replace(as_column(handle), "^@+", "")
 
 
-@F.pandas_udf(StringType())
-def _fold(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(),
-        na_action="ignore",
-    )
+@cache
+def _ascii_forms() -> tuple[str, str, dict[str, str]]:
+    """Characters with a one-letter ASCII form, these letters, and longer forms.
+
+    By rule: the ASCII part of the compatibility decomposition of every character.
+    """
+    single, letters, longer = [], [], {}
+    for point in range(0x80, sys.maxunicode + 1):
+        form = unicodedata.normalize("NFKD", chr(point)).encode("ascii", "ignore").decode()
+        if len(form) == 1:
+            single.append(chr(point))
+            letters.append(form)
+        elif form:
+            longer[chr(point)] = form
+    return "".join(single), "".join(letters), longer
 
 
 def ascii_fold(text: Column | str) -> Column:
-    """NFKD decomposition with everything outside ASCII dropped.
+    """Every character replaced by the ASCII part of its decomposition (NFKD).
 
-    The one function with no built-in counterpart, so it runs as a Pandas UDF
-    over Arrow batches. Keep it out of plans that do not need it.
+    Characters without such a part are dropped. Texts with characters of longer forms,
+    such as ligatures and fractions, are taken apart; all others are translated whole.
     """
-    return _fold(as_column(text))
+    single, letters, longer = _ascii_forms()
+    c = as_column(text)
+    forms = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    apart = F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(forms, x), x))
+    special = F.regexp_like(c, F.lit("[" + "".join(longer) + "]"))
+    spelt = F.when(special, F.array_join(apart, "")).otherwise(c)
+    return F.regexp_replace(F.translate(spelt, single, letters), r"[^\x00-\x7F]", "")

@@ -6,12 +6,13 @@ characters inside one word; if a needle is part of a text, each of its grams is
 part of a word of that text. So an equi-join on any one gram of the needle
 misses nothing, and the substring test then removes what is only similar.
 
-* Few needles (count and size checked first): the keys are broadcast and probed
-  while the texts stream by. The texts are not shuffled.
-* Otherwise: grams of both sides meet in a shuffle join. Each needle uses its
-  rarest gram, and the grams that are still frequent are split over many tasks.
+* Few needles (count and size of whole rows checked first): the keys are broadcast and
+  probed while the texts stream by. The texts are not shuffled.
+* Otherwise: texts are written once with a key of their own. Their grams are cut down to
+  what needles use before anything is shuffled, each needle takes its rarest gram, and a gram
+  that is still frequent is split over as many tasks as its count asks for.
 
-Both ways give the same rows.
+Both ways give the same rows, also for texts with null or repeated ids.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from lodestrata.session import stage
 GRAM = 4
 BROADCAST_NEEDLES = 200_000
 BROADCAST_CHARS = 32_000_000
-# Rows of one gram that a task should see at most, and how many of the most
-# frequent grams are looked at. A gram beyond the list holds less than 1/65536 of
-# the rows; AQE splits what is still uneven then.
+# Rows of one gram that a task should see at most.
 ROWS_PER_SALT = 200_000
-FREQUENT_GRAMS = 65_536
+# Slots of the filter that keeps grams no needle uses out of the shuffle: its size is
+# fixed, whatever the number of needles.
+FILTER_SLOTS = 1 << 21
 
 
 def _grams(text: Column, length: int) -> Column:
@@ -67,17 +68,16 @@ def contains_match(
     texts: DataFrame,
     parts: Sequence[str],
     text: str,
-    text_id: str,
     allow_empty: bool = False,
     strategy: str = "auto",
     gram: int = GRAM,
 ) -> DataFrame:
     """Pairs (needle row, text row) where the text contains all needle parts.
 
-    ``needles`` should be distinct; repeated needles repeat their matches. An
+    Repeated needles count once; repeated text rows give their matches each. An
     empty part is contained in every text: such needles are left out unless
-    ``allow_empty``. ``text_id`` identifies a text row. ``strategy`` is
-    ``auto``, ``broadcast`` or ``shuffle``.
+    ``allow_empty``. ``strategy`` is ``auto``, ``broadcast`` (still only within the
+    measured bounds) or ``shuffle``.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -94,16 +94,18 @@ def contains_match(
     # One small pass over them: how many, how large, which gram lengths.
     facts = needles.agg(
         F.count("*").alias("n"),
-        F.sum(F.length(F.concat_ws("", *parts))).alias("chars"),
+        F.sum(F.length(F.concat_ws("", *[F.col(c).cast("string") for c in distinct.columns]))).alias(
+            "chars"
+        ),
         F.collect_set("_size").alias("sizes"),
     ).first()
     needles = needles.withColumn("_grams", grams).drop("_size")
     small = facts.n <= BROADCAST_NEEDLES and (facts.chars or 0) <= BROADCAST_CHARS
     sizes = facts.sizes or [gram]
 
-    if strategy == "broadcast" or (strategy == "auto" and small):
+    if strategy != "shuffle" and small:
         return _probe(needles, texts, parts, text, sizes)
-    return _blocked(needles, texts, parts, text, text_id, sizes)
+    return _blocked(needles, texts, parts, text, sizes)
 
 
 def _rarest(needles: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -132,42 +134,33 @@ def _probe(
     return probed.alias("t").join(F.broadcast(keys.alias("k")), test).drop("_gram")
 
 
+def _slot(gram: str) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(FILTER_SLOTS)).cast("int")
+
+
 def _blocked(
-    needles: DataFrame,
-    texts: DataFrame,
-    parts: Sequence[str],
-    text: str,
-    text_id: str,
-    sizes: Sequence[int],
+    needles: DataFrame, texts: DataFrame, parts: Sequence[str], text: str, sizes: Sequence[int]
 ) -> DataFrame:
-    # Only the id travels with a gram; the text is joined back for the test.
-    text_grams = texts.select(
-        F.col(text_id).alias("_id"), F.explode(_text_grams(F.col(text), sizes)).alias("_gram")
-    )
+    # The texts are computed once, and every row gets a key that later reads agree on.
+    texts = stage(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    # One slot a hash of a needle gram: at most FILTER_SLOTS numbers are broadcast.
+    used = needles.select(F.explode("_grams").alias("_gram")).select(_slot("_gram").alias("_slot"))
+    text_grams = texts.select("_row", F.explode(_text_grams(F.col(text), sizes)).alias("_gram"))
+    text_grams = text_grams.withColumn("_slot", _slot("_gram"))
+    text_grams = text_grams.join(F.broadcast(used.distinct()), "_slot", "left_semi").drop("_slot")
+    text_grams = stage(text_grams, "text_grams")
     frequency = text_grams.groupBy("_gram").agg(F.count("*").alias("_n"))
     # A needle whose rarest gram is nowhere in the texts has no match.
     keys = _rarest(needles, frequency).filter(F.col("_n") > 0)
-
-    frequent = (
-        keys.select("_gram", "_n")
-        .distinct()
-        .orderBy(F.col("_n").desc(), "_gram")
-        .limit(FREQUENT_GRAMS)
-        .select("_gram", F.ceil(F.col("_n") / ROWS_PER_SALT).cast("int").alias("_salts"))
-    )
-    salts = F.coalesce("_salts", F.lit(1))
-    spread_texts = text_grams.join(F.broadcast(frequent), "_gram", "left").select(
-        "_gram", "_id", F.pmod(F.xxhash64("_id"), salts).cast("int").alias("_salt")
-    )
-    spread_keys = (
-        keys.drop("_n")
-        .join(F.broadcast(frequent), "_gram", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    candidates = spread_texts.join(spread_keys, ["_gram", "_salt"]).drop("_gram", "_salt")
-    return (
-        texts.join(candidates, F.col(text_id) == F.col("_id"))
-        .filter(_holds(F.col(text), parts))
-        .drop("_id")
+    keys = keys.withColumn("_salts", F.ceil(F.col("_n") / ROWS_PER_SALT).cast("int")).drop("_n")
+    keys = stage(keys, "needle_keys")
+    chosen = keys.select("_gram", "_salts").distinct()
+    spread_texts = text_grams.join(chosen, "_gram").select(
+        "_gram", "_row", F.pmod(F.xxhash64("_row"), "_salts").cast("int").alias("_salt")
     )
+    spread_keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    candidates = spread_texts.join(spread_keys.drop("_salts"), ["_gram", "_salt"])
+    # Only the row key travels with a gram; the text is joined back for the test.
+    return texts.join(candidates.drop("_gram", "_salt"), "_row").filter(
+        _holds(F.col(text), parts)
+    ).drop("_row")

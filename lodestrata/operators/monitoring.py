@@ -131,10 +131,12 @@ def zero_streaks(totals: DataFrame, last_day: Column) -> DataFrame:
     """Days on which a source had no records for the second day running.
 
     A day without any run is a day with zero records, so each source's calendar
-    is filled from its first day on. ``totals`` has one row per source and day,
+    is filled from its first day on; one that starts later has none. ``totals`` has one row per source and day,
     which keeps the window small however large the run log is.
     """
-    filled = totals.groupBy("source").agg(F.min("date_id").alias("first")).select(
+    firsts = totals.groupBy("source").agg(F.min("date_id").alias("first"))
+    # a sequence to an earlier day would count backwards
+    filled = firsts.filter(F.col("first") <= last_day).select(
         "source", F.explode(F.sequence("first", last_day)).alias("date_id")
     )
     complete = filled.join(totals, ["source", "date_id"], "left").select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata import schemas
-from lodestrata.functions import blank_to_null, natural_key, or_default, wall_clock
+from lodestrata.functions import blank_to_null, is_json, natural_key, or_default, wall_clock
 from lodestrata.operators.documents import json_objects
 
 # The `source` audit value per platform.
@@ -19,8 +19,9 @@ def as_messages(
 ) -> DataFrame:
     """(value) -> (raw_id, value, ingested_at).
 
-    The key is the digest of the payload, so the same response read twice is
-    the same row.
+    The key is the digest of the payload, so the same response read twice, on one day
+    or two, is the same row. Without ``ingested_at`` the clock is taken; readers of
+    files pass the file's time.
     """
     stamp = wall_clock() if ingested_at is None else ingested_at
     text = F.col(value).cast("string")
@@ -41,9 +42,9 @@ def from_topic(df: DataFrame) -> DataFrame:
 
 def split_undecodable(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): one bad message does not end the read."""
-    is_json = F.try_parse_json("value").isNotNull()
-    bad = messages.filter(~is_json | F.col("value").isNull())
-    return messages.filter(is_json), bad.withColumn("reason", F.lit("undecodable"))
+    good = is_json("value")
+    bad = messages.filter(~good)
+    return messages.filter(good), bad.withColumn("reason", F.lit("undecodable"))
 
 
 def _first_item(items: Column, field: str) -> Column:

@@ -85,7 +85,6 @@ def match_videos(
         videos,
         parts=["song_title_normalized", "artist_name_normalized"],
         text="title_normalized",
-        text_id="video_id",
         allow_empty=allow_empty,
         strategy=strategy,
     )

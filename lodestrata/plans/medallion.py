@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from lodestrata.functions import is_blank
 from lodestrata.operators import monitoring, quality
 from lodestrata.operators.merge import insert_if_absent, merge_upsert
 from lodestrata.plans import bronze, gold, mapping, silver
-from lodestrata.session import path_exists
-from lodestrata.sinks.tables import append, append_new, day_span, write_partitions
+from lodestrata.session import delete_path, path_exists, rename_path
+from lodestrata.sinks.tables import append_new, write_partitions
 from lodestrata.sources.tables import register
 
 
@@ -33,14 +33,12 @@ def run_bronze(
 ) -> None:
     """Land messages per platform; undecodable ones go to the quarantine table."""
     for platform, rows in messages.items():
-        # Taken before anything is decoded, so the payload is parsed once only.
-        span = day_span(rows)
         good, bad = bronze.split_undecodable(rows)
         table = bronze.BRONZE_TABLES[platform]
         landed = bronze.ENVELOPES[platform](good, batch_id)
-        append_new(landed, paths.table(table), span=span)
+        append_new(landed, paths.table(table))
         aside = bad.select("raw_id", "value", "ingested_at", "reason")
-        append_new(aside, paths.table(f"{table}_quarantine"), span=span)
+        append_new(aside, paths.table(f"{table}_quarantine"))
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -49,18 +47,34 @@ def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _replaced(spark: SparkSession, df: DataFrame, path: str, work: str) -> DataFrame:
-    """Replace a table by a plan that reads it.
+def _replaced(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Replace a table by a plan that may read it.
 
-    The new version is complete in the work folder before the old one is
-    touched; a run that dies in between is repeated from there.
+    The new version is complete beside the old one before that is touched, and
+    takes its place by renaming; ``recover`` ends what a lost run began.
     """
-    _stored(spark, df, work)
-    return _stored(spark, spark.read.parquet(work), path)
+    df.write.mode("overwrite").parquet(f"{path}__new")
+    delete_path(spark, f"{path}__old")
+    if path_exists(spark, path):
+        rename_path(spark, path, f"{path}__old")
+    rename_path(spark, f"{path}__new", path)
+    delete_path(spark, f"{path}__old")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put a table in place whose replacement was cut off between two renames."""
+    if path_exists(spark, path):
+        return
+    if path_exists(spark, f"{path}__new/_SUCCESS"):
+        rename_path(spark, f"{path}__new", path)
+    elif path_exists(spark, f"{path}__old"):
+        rename_path(spark, f"{path}__old", path)
 
 
 def _merged(spark: SparkSession, paths: Paths, name: str, new: DataFrame) -> DataFrame:
     """Known table with a batch's rows merged in, by the table's own rules."""
+    recover(spark, paths.table(name))
     if not path_exists(spark, paths.table(name)):
         return new
     old = spark.read.schema(new.schema).parquet(paths.table(name))
@@ -81,9 +95,52 @@ def run_silver(
     """Silver tables, mapping, checks and run log.
 
     By default rebuilt from all of bronze. ``only_batch`` parses the documents
-    of this batch alone and merges them into the tables that are there: the
-    cost of a run then follows the batch.
+    of this batch alone and merges them into the tables that are there; each table is
+    rewritten, the documents of other batches are not parsed again.
+
+    The run log gets one row a platform for the batch, ``failed`` with the error if the
+    run fails; a repeated run replaces them.
     """
+    begun = utc_now()
+    try:
+        tables, counts = _silver(spark, paths, batch_id, as_of, keep, only_batch)
+    except Exception as error:
+        counts = {platform: (0, 0) for platform in bronze.BRONZE_TABLES}
+        _log(spark, paths, batch_id, "failed", counts, begun, str(error)[:1000])
+        raise
+    _log(spark, paths, batch_id, "success", counts, begun)
+    delete_path(spark, paths.table(f"_work/{batch_id}"))
+    return tables
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _log(
+    spark: SparkSession,
+    paths: Paths,
+    batch_id: str,
+    status: str,
+    counts: dict[str, tuple[int, int]],
+    begun: datetime,
+    error: str | None = None,
+) -> None:
+    """Run-log rows of a batch, by one clock; rows of an earlier try are replaced."""
+    ended = utc_now()
+    rows = None
+    for platform, (n, bad) in counts.items():
+        row = monitoring.run_log_row(
+            spark, batch_id, platform, status, n, n - bad, bad, begun, ended, error
+        )
+        rows = row if rows is None else rows.unionAll(row)
+    write_partitions(rows, paths.table("silver_ingestion_log"))
+
+
+def _silver(
+    spark: SparkSession, paths: Paths, batch_id: str, as_of: datetime, keep: str, only_batch: bool
+) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
+    """Silver tables, and per platform the records seen and those without an id."""
     work = paths.table(f"_work/{batch_id}")
     audio_bronze = spark.read.parquet(paths.table("bronze_spotify_raw"))
     video_bronze = spark.read.parquet(paths.table("bronze_youtube_raw"))
@@ -116,9 +173,9 @@ def run_silver(
     for name, df in entities.tables().items():
         if only_batch:
             merged = _merged(spark, paths, name, df)
-            tables[name] = _replaced(spark, merged, paths.table(name), f"{work}/{name}")
+            tables[name] = _replaced(spark, merged, paths.table(name))
         else:
-            tables[name] = _stored(spark, df, paths.table(name))
+            tables[name] = _replaced(spark, df, paths.table(name))
     stamp = F.lit(as_of).cast("timestamp_ntz")
     tracks = mapping.song_tracks(
         mapping.primary_artist_left(
@@ -133,13 +190,8 @@ def run_silver(
 
     checks = quality.silver_checks(tables, batch_id, stamp).withColumn("batch_id", F.lit(batch_id))
     write_partitions(checks, paths.table("silver_data_quality_log"))
-    for platform, counts in seen.items():
-        n, bad = counts.get["n"], counts.get["bad"]
-        row = monitoring.run_log_row(
-            spark, batch_id, platform, "success", n, n - bad, bad, as_of, datetime.now()
-        )
-        append(row, paths.table("silver_ingestion_log"))
-    return tables
+    # items are read to the end by now, so the counts are there
+    return tables, {p: (o.get["n"], o.get["bad"]) for p, o in seen.items()}
 
 
 def run_gold(

@@ -25,16 +25,51 @@ def local_session(cores: int = 8, name: str = "lodestrata", memory: str = "16g")
     return spark
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Fresh folder below the one the cluster names for checkpoints.
+    """Fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting, as in tests, gets a folder of its own
-    on the local machine.
+    A session without that setting gets a folder of its own on the local machine, if
+    driver and executors are one machine, as in tests; on a cluster that is refused,
+    since executors would not see each other's files. ``drop_stages`` removes
+    the folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="lodestrata-")
-    return f"{root.rstrip('/')}/lodestrata-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/lodestrata-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Remove the intermediate results of this application; their number.
+
+    For the end of a run: DataFrames that still read them fail afterwards.
+    """
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for folder in made:
+        delete_path(spark, folder)
+    return len(made)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there, wherever it is stored."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop_path, True)
+
+
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder within its store; fails if it could not."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {path} to {target}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

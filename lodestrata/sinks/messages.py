@@ -17,22 +17,35 @@ def message_rows(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(value) if key is None else df.select(F.col(key).cast("string").alias("key"), value)
 
 
-def publish(df: DataFrame, destination: str, **options: str) -> None:
-    """Send rows as messages. ``kafka:<topic>`` needs the connector, ``files:<path>`` does not."""
+def split_oversize(rows: DataFrame, limit: int = MAX_MESSAGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(messages the broker takes, messages beyond its limit)."""
+    large = F.octet_length("value") > limit
+    return rows.filter(F.coalesce(~large, F.lit(True))), rows.filter(large)
+
+
+def publish(df: DataFrame, destination: str, rejects: str | None = None, **options: str) -> None:
+    """Send rows as messages. ``kafka:<topic>`` needs the connector, ``files:<path>`` does not.
+
+    With ``rejects``, rows beyond the broker's limit are appended there as JSON lines
+    and do not fail the others.
+    """
     kind, _, target = destination.partition(":")
+    if kind not in ("kafka", "files"):
+        raise ValueError(f"unknown destination {destination!r}")
+    rows = message_rows(df)
+    if rejects:
+        rows, large = split_oversize(rows)
+        large.write.mode("append").text(rejects)
     if kind == "kafka":
         (
-            message_rows(df)
-            .write.format("kafka")
+            rows.write.format("kafka")
             .option("topic", target)
             .option("kafka.max.request.size", str(MAX_MESSAGE_BYTES))
             .options(**options)
             .save()
         )
-    elif kind == "files":
-        message_rows(df).write.mode("append").options(**options).text(target)
     else:
-        raise ValueError(f"unknown destination {destination!r}")
+        rows.write.mode("append").options(**options).text(target)
 
 
 def bulk_rows(df: DataFrame, key: str, index: str) -> DataFrame:

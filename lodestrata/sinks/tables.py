@@ -33,33 +33,16 @@ def by_folder(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def day_span(df: DataFrame, column: str = "ingested_at") -> tuple:
-    """First and last day of the rows; reads that one column."""
-    day = F.to_date(column)
-    row = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    return row["first"], row["last"]
-
-
-def append_new(
-    df: DataFrame,
-    path: str,
-    key: str = "raw_id",
-    day: str = "ingested_at",
-    span: tuple | None = None,
-) -> None:
-    """Append the rows whose key is not there yet.
-
-    The table is partitioned by day, and only the days of the incoming rows are
-    read for the check: a key belongs to one day, as both come from the message.
-    ``span`` tells those days where the caller knows them from cheaper rows.
+def append_new(df: DataFrame, path: str, key: str = "raw_id", day: str = "ingested_at") -> None:
+    """Append the rows whose key is not there yet, on whatever day it came before.
+
+    The table is partitioned by day; for the check its key column alone is read. The first
+    write and later ones follow the same rule: each key once.
     """
     spark = df.sparkSession
     rows = df.withColumn("ingest_date", F.to_date(day))
     if path_exists(spark, path):
-        first, last = span or day_span(df, day)
-        known = spark.read.schema(rows.schema).parquet(path)
-        known = known.filter(F.col("ingest_date").between(first, last))
-        rows = new_rows(known, rows, ["ingest_date", key])
+        rows = new_rows(spark.read.schema(rows.schema).parquet(path), rows, [key])
     else:
         rows = rows.dropDuplicates([key])
     by_folder(rows, "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(path)

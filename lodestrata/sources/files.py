@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.functions import wall_clock
 from lodestrata.session import path_exists
 
 # Declared layout of the assessment export; `asmed` is JSON text.
@@ -14,16 +15,27 @@ ASSESSMENT_SCHEMA = (
 )
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def _timed(rows: DataFrame) -> DataFrame:
+    """(value, file_time): the time is the file's, so reading again gives the same."""
+    time = wall_clock(F.col("_metadata.file_modification_time"))
+    return rows.select("value", time.alias("file_time"))
+
+
+def read_documents(spark: SparkSession, path: str, timed: bool = False) -> DataFrame:
     """One row per file, the whole file in ``value``. A missing path is no rows."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], "value string")
-    return spark.read.option("ignoreMissingFiles", True).text(path, wholetext=True).select("value")
+        extra = ", file_time timestamp_ntz" if timed else ""
+        return spark.createDataFrame([], f"value string{extra}")
+    rows = spark.read.option("ignoreMissingFiles", True).text(path, wholetext=True)
+    return _timed(rows) if timed else rows.select("value")
 
 
-def read_document_stream(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+def read_document_stream(
+    spark: SparkSession, path: str, whole: bool = True, timed: bool = False
+) -> DataFrame:
     """The same as a stream; ``whole=False`` takes one JSON document per line."""
-    return spark.readStream.text(path, wholetext=whole).select("value")
+    rows = spark.readStream.text(path, wholetext=whole)
+    return _timed(rows) if timed else rows.select("value")
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:

@@ -40,5 +40,6 @@ def read_messages(
         return read_topics(spark, kafka)
     if path is None:
         raise ValueError(f"no topic and no path given for {platform}")
-    rows = read_document_stream(spark, path) if stream else read_documents(spark, path)
-    return as_messages(rows).withColumn("topic", F.lit(f"raw_{platform}"))
+    read = read_document_stream if stream else read_documents
+    rows = as_messages(read(spark, path, timed=True), ingested_at=F.col("file_time"))
+    return rows.withColumn("topic", F.lit(f"raw_{platform}"))

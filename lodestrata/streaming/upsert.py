@@ -2,18 +2,20 @@
 
 A batch appends its changes, already reduced to one row per key; readers merge
 them. Nothing that is being read is overwritten, and the cost of a batch follows
-the batch, not the table. ``compact`` folds the changes into one version.
+the batch, not the table. ``compact`` folds the changes into one batch, so reads
+follow the keys, not the history.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions import utc_wall
-from lodestrata.operators.latest import pick_version
+from lodestrata.session import delete_path
 from lodestrata.streaming.epochs import batch_label, run_available, write_epoch
 
 
@@ -54,36 +56,43 @@ def read_upserted(
     return merged.select(*keys, *values)
 
 
-def compact(
-    spark: SparkSession, path: str, target: str, keys: Sequence[str], update_cols: Sequence[str]
-) -> DataFrame:
-    """Write the merged state as a table of its own and read it back."""
-    read_upserted(spark, path, keys, update_cols).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Fold all batches so far into one and retire them; readers see the same state.
 
+    Folding is idempotent: a base beside the batches it holds changes no result. So the
+    base is written first, the batches go last, and a run that dies in between does no harm.
+    """
+    rows = spark.read.parquet(path)
+    folded = [r.epoch for r in rows.select("epoch").distinct().collect()]
+    base = rows.groupBy(*keys).agg(
+        F.max_by("last", "last_order").alias("last"),
+        F.max("last_order").alias("last_order"),
+        F.min_by("first", "first_order").alias("first"),
+        F.min("first_order").alias("first_order"),
+    )
+    write_epoch(base, f"base-{uuid.uuid4().hex}", path)
+    for label in folded:
+        delete_path(spark, f"{path}/epoch={label}")
 
-def stream_daily(
-    stream: DataFrame, path: str, checkpoint: str, delay: str = "7 days", day: str = "ts"
-) -> None:
-    """Rows per UTC day and source from a stream, late rows included up to ``delay``.
 
-    ``day`` is an instant; make one of a zone-less time with ``utc_instant``.
+def stream_daily(stream: DataFrame, path: str, checkpoint: str, day: str = "ts") -> None:
+    """Rows per UTC day and source from a stream, however late a row comes.
+
+    Each batch writes its own counts under its label, so nothing waits for a watermark
+    and no state is kept; a repeated batch replaces its counts. ``day`` is an instant;
+    make one of a zone-less time with ``utc_instant``.
     """
-    counts = (
-        stream.withWatermark(day, delay)
-        .groupBy(F.window(day, "1 day").alias("w"), "source")
-        .agg(F.count("*").alias("row_count"))
-        .select(F.to_date(utc_wall("w.start")).alias("date"), "source", "row_count")
-    )
 
     def each(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch.withColumn("written", F.lit(epoch)), batch_label(batch, epoch), path)
+        counts = batch.groupBy(F.to_date(utc_wall(day)).alias("date"), "source").agg(
+            F.count("*").alias("row_count")
+        )
+        write_epoch(counts, batch_label(batch, epoch), path)
 
-    run_available(counts, checkpoint, each, mode="update")
+    run_available(stream, checkpoint, each)
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """Newest total per day and source."""
-    rows = spark.read.parquet(path).drop("epoch")
-    picked = pick_version(rows, ["date", "source"], [F.col("written")])
-    return picked.select("date", "source", "row_count")
+    """Total per day and source: the sum over all batches."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("date", "source").agg(F.sum("row_count").alias("row_count"))

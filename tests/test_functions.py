@@ -186,6 +186,51 @@ def test_embedded_json(spark, html, expected):
     assert column(spark, embedded_json("x"), html) == expected
 
 
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        # the assignment inside of a title is data
+        (
+            '<script>var ytInitialData = {"t":"how var ytInitialData = works; "};</script>',
+            '{"t":"how var ytInitialData = works; "}',
+        ),
+        ('<script>var ytInitialData = {"a":1};var b=2</script>', None),
+        ('<script>x(); var ytInitialData = {"a":1};</script>', None),
+    ],
+)
+def test_embedded_json_is_taken_as_it_stands(spark, html, expected):
+    assert column(spark, embedded_json("x"), html) == expected
+
+
+@pytest.mark.parametrize(
+    "text, valid",
+    [
+        ('{"a":1,"a":2}', True),
+        (' [1, {"b": null}]\n', True),
+        ('"x"', True),
+        ("3", True),
+        ('{"a":1} {"b":2}', False),
+        ('{"a":1};', False),
+        ('{"a":1}}', False),
+        ('{"a":1},"seal":"x"} tail', False),
+        ("{'a':1}", False),
+        ('{"a":', False),
+        ("", False),
+        ("{broken", False),
+        (None, False),
+    ],
+)
+def test_is_json(spark, text, valid):
+    assert column(spark, X.is_json("x"), text) is valid
+
+
+def test_is_json_has_no_size_limit(spark):
+    big = spark.range(1).select(F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), 30_000_000), F.lit('"}')).alias("x"))
+    assert big.select(X.is_json("x")).first()[0] is True
+    deep = spark.range(1).select(F.concat(F.repeat(F.lit("["), 2_000), F.repeat(F.lit("]"), 2_000)).alias("x"))
+    assert deep.select(X.is_json("x")).first()[0] is True
+
+
 def test_elements(spark):
     html = "<ul><li class='a'>one</li><LI>two\nlines</LI><link>no</link></ul>"
     assert column(spark, elements("x", "li"), html) == ["one", "two\nlines"]

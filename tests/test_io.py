@@ -1,9 +1,11 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata import session
 from lodestrata.plans import medallion
 from lodestrata.plans.bronze import as_messages, bronze_youtube
 from lodestrata.session import shared_folder
@@ -90,6 +92,76 @@ def test_append_new(spark, scratch):
     assert spark.read.parquet(f"{scratch}/t").count() == 2
 
 
+def test_append_new_on_another_day(spark, scratch):
+    kind = "raw_id string, ingested_at timestamp_ntz"
+    for day in (1, 2, 2):
+        rows = [("a", datetime(2024, 1, day)), ("a", datetime(2024, 1, day + 3)), (f"d{day}", datetime(2024, 1, day))]
+        sink.append_new(spark.createDataFrame(rows, kind), f"{scratch}/t")
+        epochs.append_once(spark.createDataFrame(rows, kind), f"q-{day}", f"{scratch}/s")
+    for table in "ts":
+        keys = sorted(r.raw_id for r in spark.read.parquet(f"{scratch}/{table}").collect())
+        assert keys == ["a", "d1", "d2"]
+
+
+def test_files_keep_their_time(spark, tmp_path):
+    put(tmp_path / "in", "1.json", video_text(1))
+    os.utime(tmp_path / "in" / "1.json", (1_700_000_000, 1_700_000_000))
+    first, again = (topics.read_messages(spark, "youtube", path=str(tmp_path / "in")).first() for _ in range(2))
+    assert first == again and first.ingested_at == datetime(2023, 11, 15, 5, 13, 20)
+
+
+def test_oversize_messages_go_aside(spark, scratch, monkeypatch):
+    df = spark.createDataFrame([("1", "a" * 50), ("2", "b"), (None, None)], "id string, v string")
+    small, large = out.split_oversize(out.message_rows(df), 30)
+    assert (small.count(), large.count()) == (2, 1)
+    out.publish(df, f"files:{scratch}/m", rejects=f"{scratch}/r")
+    assert spark.read.text(f"{scratch}/m").count() == 3 and spark.read.text(f"{scratch}/r").count() == 0
+
+
+def test_stages_can_be_dropped(spark, scratch):
+    staged = session.stage(spark.range(3), "x")
+    folder = os.path.dirname(staged.inputFiles()[0].removeprefix("file://").removeprefix("file:"))
+    assert os.path.isdir(folder)
+    assert session.drop_stages(spark) >= 1
+    assert not os.path.isdir(folder)
+
+
+def test_table_is_whole_after_a_lost_replacement(spark, scratch):
+    path = f"{scratch}/t"
+    medallion._replaced(spark, spark.range(2), path)
+    assert medallion._replaced(spark, spark.read.parquet(path).unionAll(spark.range(1)), path).count() == 3
+    # lost after the old version was put aside: the new one is complete
+    os.rename(path, f"{path}__old")
+    spark.range(5).write.parquet(f"{path}__new")
+    medallion.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    # lost with a new version that is not complete: the old one comes back
+    os.rename(path, f"{path}__mine")
+    medallion.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_failed_and_repeated_runs_are_logged_once(spark, tmp_path):
+    paths = medallion.Paths(str(tmp_path / "lake"))
+    with pytest.raises(Exception):
+        medallion.run_silver(spark, paths, "b1", datetime(2024, 1, 1))
+    log = spark.read.parquet(paths.table("silver_ingestion_log"))
+    assert sorted((r.source, r.status) for r in log.collect()) == [("spotify", "failed"), ("youtube", "failed")]
+    assert all(r.error_message and 0 <= r.duration_seconds < 300 for r in log.collect())
+    track = json.dumps({"tracks": {"items": {"id": "t1", "name": "N"}}})
+    video = json.dumps({"items": {"id": {"videoId": "v1"}, "snippet": {"title": "t"}}})
+    rows = {
+        k: as_messages(spark.createDataFrame([(v,)], "value string"), ingested_at=now())
+        for k, v in {"spotify": track, "youtube": video}.items()
+    }
+    medallion.run_bronze(rows, paths, "b1")
+    for _ in range(2):
+        medallion.run_silver(spark, paths, "b1", datetime(2020, 1, 1))
+    log = spark.read.parquet(paths.table("silver_ingestion_log")).collect()
+    assert sorted((r.source, r.status, r.records_raw) for r in log) == [("spotify", "success", 1), ("youtube", "success", 1)]
+    assert all(r.duration_seconds < 300 for r in log)
+
+
 def test_write_tables_skips_empty(spark, scratch):
     written = sink.write_tables({"full": spark.range(2), "empty": spark.range(0)}, scratch)
     assert written == ["full"]
@@ -179,8 +251,14 @@ def test_stream_upsert(spark, tmp_path):
     # A late row changes nothing that is newer; a newer one does.
     put(inbox, "2", row("v1", "late", 3, 2) + row("v2", "y", 9, 4))
     assert drain() == {"v1": ("old", 5), "v2": ("x", 9)}
-    folded = upsert.compact(spark, str(tmp_path / "c"), str(tmp_path / "t"), ["video_id"], ["views"])
-    assert folded.count() == 2
+    upsert.compact(spark, str(tmp_path / "c"), ["video_id"])
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 2
+    assert drain() == {"v1": ("old", 5), "v2": ("x", 9)}
+    # the base counts like any batch
+    put(inbox, "3", row("v1", "later", 7, 5))
+    assert drain() == {"v1": ("old", 7), "v2": ("x", 9)}
+    upsert.compact(spark, str(tmp_path / "c"), ["video_id"])
+    assert drain() == {"v1": ("old", 7), "v2": ("x", 9)}
 
 
 def test_stream_daily_and_outcomes(spark, tmp_path):
@@ -198,9 +276,17 @@ def test_stream_daily_and_outcomes(spark, tmp_path):
     assert daily() == {(1, "a"): 2, (2, "b"): 1}
     put(inbox, "2", json.dumps({"ts": "2024-01-01T09:00:00Z", "source": "a"}))
     assert daily() == {(1, "a"): 3, (2, "b"): 1}
+    # days late by any measure, and a new checkpoint that sees only what is new
+    put(inbox, "3", json.dumps({"ts": "2024-03-30T09:00:00Z", "source": "a"}))
+    daily()
+    late = tmp_path / "late"
+    put(late, "4", json.dumps({"ts": "2024-01-02T09:00:00Z", "source": "b"}))
+    parsed = files.read_jobs(spark, str(late)).select(F.from_json("value", "ts timestamp, source string").alias("r"))
+    upsert.stream_daily(parsed.select("r.*"), str(tmp_path / "d"), str(tmp_path / "m-new"))
+    assert daily() == {(1, "a"): 3, (2, "b"): 2, (30, "a"): 1}
     ingest.stream_outcomes(rows(), F.col("source") == "a", F.lit(False), str(tmp_path / "o"), str(tmp_path / "m2"))
     counts = spark.read.parquet(str(tmp_path / "o")).groupBy("outcome").count().collect()
-    assert {r.outcome: r["count"] for r in counts} == {"ok": 3, "quarantine": 1}
+    assert {r.outcome: r["count"] for r in counts} == {"ok": 4, "quarantine": 1}
 
 
 # The whole run --------------------------------------------------------------------------

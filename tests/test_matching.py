@@ -59,7 +59,7 @@ def frames(spark, needles, texts):
 @pytest.mark.parametrize("allow_empty", [False, True])
 def test_equals_brute_force(spark, strategy, allow_empty):
     n, t = frames(spark, NEEDLES, TEXTS)
-    got = contains_match(n, t, ["a", "b"], "t", "j", allow_empty, strategy).select("i", "j").collect()
+    got = contains_match(n, t, ["a", "b"], "t", allow_empty, strategy).select("i", "j").collect()
     assert sorted((r.i, r.j) for r in got) == brute(NEEDLES, TEXTS, allow_empty)
 
 
@@ -76,7 +76,7 @@ def test_random_texts(spark, strategy, seed, monkeypatch):
     needles = sorted({(words(rnd.randint(1, 2), 5), words(1, 3)) for _ in range(60)})
     texts = [words(rnd.randint(1, 8), 9) for _ in range(200)]
     n, t = frames(spark, needles, texts)
-    got = contains_match(n, t, ["a", "b"], "t", "j", strategy=strategy).select("i", "j").collect()
+    got = contains_match(n, t, ["a", "b"], "t", strategy=strategy).select("i", "j").collect()
     assert sorted((r.i, r.j) for r in got) == brute(needles, texts, False)
 
 
@@ -84,13 +84,42 @@ def test_one_text_fills_most_rows(spark, monkeypatch):
     monkeypatch.setattr(containment, "ROWS_PER_SALT", 10)
     texts = ["same old love song by the art band"] * 300 + ["other thing"] * 100
     n, t = frames(spark, [("love song", "art"), ("thing", "other")], texts)
-    pairs = contains_match(n, t, ["a", "b"], "t", "j", strategy="shuffle")
+    pairs = contains_match(n, t, ["a", "b"], "t", strategy="shuffle")
     assert {r.i: r["count"] for r in pairs.groupBy("i").count().collect()} == {0: 300, 1: 100}
 
 
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_every_text_row_counts(spark, strategy):
+    n = spark.createDataFrame([(0, "love", "art"), (0, "love", "art")], "i int, a string, b string")
+    texts = [(None, "art love"), (None, "art love"), (1, "art love"), (1, "love art"), (2, None), (3, "")]
+    t = spark.createDataFrame(texts, "j int, t string")
+    got = contains_match(n, t, ["a", "b"], "t", strategy=strategy).select("j", "t").collect()
+    assert sorted(map(str, got)) == sorted(map(str, t.limit(4).collect()))
+
+
+def test_broadcast_stays_within_its_bounds(spark, monkeypatch):
+    monkeypatch.setattr(containment, "BROADCAST_CHARS", 20)
+    n, t = frames(spark, NEEDLES, TEXTS)
+    wide = n.withColumn("note", F.repeat(F.lit("x"), 100))
+    plan = plan_of(contains_match(wide, t, ["a", "b"], "t", strategy="broadcast"))
+    assert "_salts" in plan  # the keys of the shuffle join
+
+
+def test_blocked_join_shuffles_needle_grams_only(spark, scratch):
+    n, t = frames(spark, [("same", "old")], ["same old thing"] + ["nothing alike here"] * 50)
+    t.write.parquet(f"{scratch}/t")
+    found = contains_match(n, spark.read.parquet(f"{scratch}/t"), ["a", "b"], "t", strategy="shuffle")
+    assert found.count() == 1
+    # the texts themselves are read once, when they are staged; the join reads what was staged
+    files = found.inputFiles()
+    assert not any(f.startswith(f"file://{scratch}/t/") for f in files)
+    grams = [f for f in files if "/text_grams/" in f]
+    assert spark.read.parquet(*grams).select("_row").distinct().count() == 1
+
+
 def test_no_needles(spark):
     n, t = frames(spark, [("x", "y")], TEXTS)
-    assert contains_match(n.filter("i > 5"), t, ["a", "b"], "t", "j").count() == 0
+    assert contains_match(n.filter("i > 5"), t, ["a", "b"], "t").count() == 0
 
 
 def plan_of(df):
@@ -100,7 +129,7 @@ def plan_of(df):
 def test_plans_compare_no_pairs(spark):
     n, t = frames(spark, NEEDLES, TEXTS)
     for strategy in ("broadcast", "shuffle"):
-        plan = plan_of(contains_match(n, t, ["a", "b"], "t", "j", strategy=strategy))
+        plan = plan_of(contains_match(n, t, ["a", "b"], "t", strategy=strategy))
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -108,7 +137,7 @@ def test_probe_does_not_shuffle_texts(spark, scratch):
     n, t = frames(spark, NEEDLES, TEXTS)
     t.write.parquet(f"{scratch}/t")
     plan = plan_of(
-        contains_match(n, spark.read.parquet(f"{scratch}/t"), ["a", "b"], "t", "j", strategy="broadcast")
+        contains_match(n, spark.read.parquet(f"{scratch}/t"), ["a", "b"], "t", strategy="broadcast")
     )
     left = plan[: plan.index("BroadcastExchange")]
     assert "BroadcastHashJoin" in left and "Exchange hashpartitioning" not in left

@@ -8,7 +8,6 @@ from lodestrata.functions import cache_key
 from lodestrata.operators import backlog, monitoring, pages, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
-from lodestrata.operators.pairs import every_pair
 
 
 def at(text):
@@ -57,14 +56,6 @@ def test_pick_version_combines_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_every_pair(spark, monkeypatch):
-    a, b = spark.range(2), spark.createDataFrame([("x",), ("y",), ("x",)], "v string")
-    assert sorted(map(tuple, every_pair(a, b, "v").collect())) == [(i, v) for i in (0, 1) for v in ("x", "x", "y")]
-    monkeypatch.setattr("lodestrata.operators.pairs.MAX_VALUES", 2)
-    with pytest.raises(ValueError):
-        every_pair(a, b, "v")
-
-
 # Quality ------------------------------------------------------------------------
 
 
@@ -135,6 +126,13 @@ def test_alerts(runs):
     }
 
 
+def test_no_silent_days_before_a_source_starts(spark):
+    rows = [("late", date(2024, 2, 5), 0), ("early", date(2024, 1, 28), 0)]
+    totals = spark.createDataFrame(rows, "source string, date_id date, raw bigint")
+    got = monitoring.zero_streaks(totals, F.lit("2024-01-30").cast("date")).collect()
+    assert sorted((r.source, r.date_id.day) for r in got) == [("early", 29), ("early", 30)]
+
+
 def test_retention_and_ranges(spark):
     df = spark.createDataFrame([(datetime(2024, 1, d),) for d in (1, 2, 3)], "t timestamp_ntz")
     assert monitoring.retained(df, "bronze", "t", at("2024-02-01")).count() == 2
