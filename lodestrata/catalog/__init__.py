@@ -2,6 +2,7 @@
 
 from lodestrata.catalog import (  # noqa: F401  (importing registers the queries)
     bronze_silver,
+    files,
     gold,
     link,
     operations,

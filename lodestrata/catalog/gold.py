@@ -209,8 +209,8 @@ SUMMARY = f"""{RUNS}, {CHECKS}, summary AS (
     round(avg(duration_seconds))::INT AS avg_ingestion_duration_seconds FROM runs GROUP BY 1, 2),
 check_totals AS (
   SELECT started_at::DATE AS date_id, source, count(DISTINCT check_id) AS total_checks_run,
-    count(DISTINCT CASE WHEN c.status = 'pass' THEN check_id END) AS checks_passed,
-    count(DISTINCT CASE WHEN c.status IN ('fail', 'warn') THEN check_id END) AS checks_failed
+    count(DISTINCT check_id) FILTER (c.status = 'pass') AS checks_passed,
+    count(DISTINCT check_id) FILTER (c.status <> 'pass') AS checks_failed
   FROM runs JOIN checks c USING (batch_id) GROUP BY 1, 2)"""
 
 
@@ -276,9 +276,10 @@ def summary_stats(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DIM_SONG} SELECT CASE WHEN has_spotify AND has_youtube THEN 'Both'
-      WHEN has_spotify THEN 'Spotify Only' WHEN has_youtube THEN 'YouTube Only' END AS platform,
-      count(*) AS song_count FROM dim_song GROUP BY 1"""
+    f"""WITH {DIM_SONG}, label(isrcs, videos, platform) AS (
+      VALUES (true, true, 'Both'), (true, false, 'Spotify Only'), (false, true, 'YouTube Only'))
+    SELECT platform, count(*) AS song_count FROM dim_song
+    JOIN label ON isrcs = has_spotify AND videos = has_youtube GROUP BY 1"""
 )
 def platform_presence(spark, sf_dir):
     return dashboards.platform_presence(_dim_song(spark, sf_dir))
@@ -344,3 +345,9 @@ def bool_or_flags(spark, sf_dir):
         ).alias("pressing"),
     )
     return rows.withColumn("kinds", F.col("has_f").cast("int") + F.col("has_o").cast("int"))
+
+
+@query(f"""WITH {LINKED} SELECT DISTINCT song_id, isrc_code AS isrc FROM songs WHERE isrc_code <> ''""")
+def song_isrc(spark, sf_dir):
+    """The codes of a song, a row each."""
+    return gold.song_isrcs(roles.song_mapping(roles.silver_tables(spark, sf_dir)))

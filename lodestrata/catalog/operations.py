@@ -20,7 +20,6 @@ from lodestrata.catalog.roles import (
     text,
     today,
 )
-from lodestrata.functions import is_blank
 from lodestrata.operators import backlog, monitoring, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
@@ -35,10 +34,10 @@ _COLS = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
 
 
 def _old_and_new(spark, sf_dir):
-    """Customers of all but one segment as the target, some nations as updates."""
+    """Customers of all but one segment as the target; that one and some nations as updates."""
     c = table(spark, sf_dir, "customer")
     old = c.filter("c_mktsegment <> 'BUILDING'").select(*_COLS)
-    new = c.filter("c_nationkey >= 10").select(
+    new = c.filter("c_nationkey >= 10 OR c_mktsegment = 'BUILDING'").select(
         "c_custkey",
         F.concat("c_name", F.lit(" *")).alias("c_name"),
         (-F.col("c_acctbal")).alias("c_acctbal"),
@@ -48,7 +47,7 @@ def _old_and_new(spark, sf_dir):
 
 
 _MERGE = """WITH old AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
-    new AS (SELECT * FROM customer WHERE c_nationkey >= 10) """
+    new AS (SELECT * FROM customer WHERE c_nationkey >= 10 OR c_mktsegment = 'BUILDING') """
 
 
 @query(
@@ -92,9 +91,10 @@ def insert_absent(spark, sf_dir):
     """SELECT c_custkey, key, value FROM (
       SELECT c_custkey, 'name' AS key, c_name AS value FROM customer WHERE c_mktsegment <> 'BUILDING'
       UNION ALL SELECT c_custkey, 'segment',
-        CASE WHEN c_nationkey >= 10 THEN lower(c_mktsegment) ELSE c_mktsegment END FROM customer
-        WHERE c_mktsegment <> 'BUILDING' OR c_nationkey >= 10
-      UNION ALL SELECT c_custkey, 'nation', c_nationkey::VARCHAR FROM customer WHERE c_nationkey >= 10)"""
+        CASE WHEN c_nationkey >= 10 OR c_mktsegment = 'BUILDING' THEN lower(c_mktsegment) ELSE c_mktsegment END
+        FROM customer
+      UNION ALL SELECT c_custkey, 'nation', c_nationkey::VARCHAR FROM customer
+        WHERE c_nationkey >= 10 OR c_mktsegment = 'BUILDING')"""
 )
 def patch_merge(spark, sf_dir):
     """Patches set one known and one new field; other fields stay."""
@@ -103,7 +103,7 @@ def patch_merge(spark, sf_dir):
         "c_custkey",
         F.create_map(F.lit("name"), "c_name", F.lit("segment"), "c_mktsegment").alias("document"),
     )
-    patch = c.filter("c_nationkey >= 10").select(
+    patch = c.filter("c_nationkey >= 10 OR c_mktsegment = 'BUILDING'").select(
         "c_custkey",
         F.create_map(
             F.lit("segment"), F.lower("c_mktsegment"), F.lit("nation"), F.col("c_nationkey").cast("string")
@@ -617,9 +617,16 @@ def run_counters(spark, sf_dir):
 
 
 @query(
-    """SELECT n_regionkey, count(*) AS nations, count_if(n_name = '')::BIGINT AS blank FROM nation GROUP BY 1"""
+    """SELECT 'orders' AS table_name, 'missing' AS check_type,
+      CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status, count(*) AS affected_rows,
+      'batch-1' AS batch_id, 'title_missing' AS name
+    FROM orders WHERE o_orderpriority = '5-LOW' OR o_orderstatus = 'P'"""
 )
 def blank_count(spark, sf_dir):
-    return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(
-        F.count("*").alias("nations"), F.count_if(is_blank("n_name")).alias("blank")
+    """Titles that are empty or not there, found by the standing rule."""
+    title = (
+        F.when(F.col("o_orderpriority") == "5-LOW", "")
+        .when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
     )
+    rows = table(spark, sf_dir, "orders").select(title.alias("title"))
+    return _log(quality.check_rows(rows, "orders", quality.missing("title"), BATCH, as_of()))

@@ -14,12 +14,20 @@ DONE_DAYS = 7
 CACHE_HOURS = 24
 
 
+def done_flags(done: DataFrame, as_of: Column, key: str = "song", days: int = DONE_DAYS) -> DataFrame:
+    """Flags that have not run out: one row a key with its newest ``done_at``.
+
+    Setting a flag again prolongs it; a flag whose time is over is as if never set.
+    """
+    newest = done.groupBy(key).agg(F.max("done_at").alias("done_at"))
+    return newest.filter(F.col("done_at") > as_of - F.make_dt_interval(F.lit(days)))
+
+
 def skip_done(
     catalogue: DataFrame, done: DataFrame, as_of: Column, key: str = "song", days: int = DONE_DAYS
 ) -> DataFrame:
     """Catalogue rows whose song was not finished within the last days."""
-    valid = done.filter(F.col("done_at") > as_of - F.make_dt_interval(F.lit(days)))
-    return catalogue.join(valid.select(key).distinct(), key, "left_anti")
+    return catalogue.join(done_flags(done, as_of, key, days).select(key), key, "left_anti")
 
 
 def done_rows(songs: DataFrame, as_of: Column, key: str = "song") -> DataFrame:

@@ -49,6 +49,12 @@ def song_videos(mapping: DataFrame) -> DataFrame:
     )
 
 
+def song_isrcs(mapping: DataFrame) -> DataFrame:
+    """(song_id, isrc): one row a code, for songs with more codes than a cell should hold."""
+    rows = mapping.select("song_id", F.col("spotify_isrc_code").alias("isrc"))
+    return rows.filter(~is_blank("isrc")).distinct()
+
+
 def _track_side(
     mapping: DataFrame,
     track: DataFrame,

@@ -130,12 +130,22 @@ def isrc_links(tracks: DataFrame) -> DataFrame:
     return _direct_rows(moved.drop(*SONG).select("*", "_song.*"))
 
 
+def track_copies(mapping: DataFrame) -> DataFrame:
+    """(song_id, youtube_video_id, copies): how often a match stands in the source system.
+
+    That writes a match once per track of the song; here the tracks are counted.
+    """
+    direct = F.col("match_method") == DIRECT
+    tracks = mapping.filter(direct).groupBy("song_id").agg(F.count("*").alias("copies"))
+    matched = mapping.filter(~direct & F.col("youtube_video_id").isNotNull())
+    return matched.join(tracks, "song_id").select("song_id", "youtube_video_id", "copies")
+
+
 def song_mapping(
     tracks: DataFrame,
     videos: DataFrame,
     as_of,
     allow_empty: bool = False,
-    per_track: bool = False,
     strategy: str = "auto",
     isrc: bool = False,
     manual: DataFrame | None = None,
@@ -143,15 +153,13 @@ def song_mapping(
     """The mapping table.
 
     ``tracks`` comes from :func:`song_tracks`, ``videos`` from
-    :func:`matchable_videos`. A (song, video) pair is one row; ``per_track``
-    repeats it for every track of the song, as the source system does.
+    :func:`matchable_videos`. A (song, video) pair is one row; the source system
+    repeats it for every track of the song, see :func:`track_copies`.
     ``isrc`` adds links by shared ISRC, ``manual`` rows of a hand-made table.
     """
     # Read as needles, as direct rows and by the options below: computed once.
     tracks = stage(tracks, "song_tracks")
     pairs = match_videos(tracks, videos, allow_empty, strategy)
-    if per_track:
-        pairs = pairs.join(tracks.select("song_id", F.col("track_id").alias("_track")), "song_id")
     matched = pairs.select(
         *SONG,
         F.col("video_id").alias("youtube_video_id"),

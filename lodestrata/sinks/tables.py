@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata import schemas
 from lodestrata.operators.merge import new_rows
-from lodestrata.session import path_exists
+from lodestrata.session import delete_path, path_exists
 
 
 def create_tables(
@@ -67,6 +69,20 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
     return written
 
 
+def drop_days(
+    spark: SparkSession, path: str, first_kept: date, column: str = "ingest_date"
+) -> list[date]:
+    """Remove the day folders before a day; the days removed.
+
+    Which days there are is read from the folder names alone.
+    """
+    days = spark.read.parquet(path).select(column).distinct()
+    old = [r[0] for r in days.filter(F.col(column) < F.lit(first_kept)).collect()]
+    for day in old:
+        delete_path(spark, f"{path}/{column}={day.isoformat()}")
+    return sorted(old)
+
+
 def write_partitions(df: DataFrame, path: str, by: str = "batch_id") -> None:
     """Replace just the partitions the rows belong to: backfill of one batch."""
     (
