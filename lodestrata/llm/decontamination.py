@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.textscan import ALNUM, bounded_batches, mix, scan, slices, text_buffer
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 16 << 20
 _DEPTH = 16
 
