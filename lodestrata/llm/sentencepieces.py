@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from lodestrata.llm.textscan import bounded_batches, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Characters of words of one length that are encoded at a time.
 AT_ONCE = 1 << 17
 _SPACE, _MARK = 32, 0x2581
