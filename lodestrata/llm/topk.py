@@ -51,17 +51,20 @@ def lists_of(block: np.ndarray) -> np.ndarray:
     return -np.sort(-block, axis=0)
 
 
-def nra(queries: np.ndarray, block: np.ndarray, k: int, floor: np.ndarray) -> np.ndarray:
+def nra(
+    queries: np.ndarray, block: np.ndarray, k: int, floor: np.ndarray, own: np.ndarray
+) -> np.ndarray:
     """Whether vector j may be among the k best of query i; no other vector can be.
 
     `floor`: for each query a score that its k-th best has at least.
+    `own`: whether vector j has the id of query i; it is no answer and sets no bound.
     """
     n = len(block)
     if n <= k:
-        return np.ones((len(queries), n), dtype=bool)
+        return ~own
     lists = lists_of(block)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    open_ = np.ones((len(queries), n), dtype=bool)
+    open_ = ~own
     floor = floor.copy()
     for part in READ:
         last = min(n, int(np.ceil(part * n))) - 1
@@ -70,6 +73,7 @@ def nra(queries: np.ndarray, block: np.ndarray, k: int, floor: np.ndarray) -> np
         upper += down @ np.minimum(block, low).T
         lower = up @ np.where(block >= high, block, lists[-1]).T
         lower += down @ np.where(block <= low, block, lists[0]).T
+        lower[own] = -np.inf
         kth = np.partition(lower, n - k, axis=1)[:, n - k]
         floor = np.maximum(floor, kth)
         open_ &= upper >= floor[:, None]
@@ -85,7 +89,7 @@ def _best(queries, q_ids, block, ids, k, floor):
     largest = max(np.abs(queries).max(initial=0), np.abs(block).max(initial=0))
     if largest**2 * queries.shape[1] >= 2.0**52:
         slack = largest**2 * queries.shape[1] * 2.0**-48
-    open_ = nra(queries, block, k, floor - slack)
+    open_ = nra(queries, block, k, floor - slack, q_ids[:, None] == ids)
     qi, vi = np.nonzero(open_)
     if slack:
         whole = [[int(x) for x in row] for row in queries], [[int(x) for x in row] for row in block]
@@ -100,8 +104,6 @@ def _best(queries, q_ids, block, ids, k, floor):
         for lo in range(0, len(qi), 1 << 18):
             part = slice(lo, lo + (1 << 18))
             score[part] = np.einsum("ij,ij->i", q_int[qi[part]], v_int[vi[part]])
-    other = q_ids[qi] != ids[vi]
-    qi, vi, score = qi[other], vi[other], score[other]
     order = np.lexsort((ids[vi], -score, qi))
     qi, vi, score = qi[order], vi[order], score[order]
     begin = np.searchsorted(qi, np.arange(len(queries)))

@@ -133,6 +133,20 @@ def test_top_k_of_chunks_and_of_nothing(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_top_k_beside_many_copies_of_a_query(spark, parts):
+    # clusters stored one after the other; so many copies that all lists are read to the end
+    rng = np.random.default_rng(3)
+    rows = []
+    for cluster in range(4):
+        centre = rng.normal(0, 1, 8)
+        own = [centre + rng.normal(0, 0.05, 8) for _ in range(150)] + [centre] * 100
+        rows += [(cluster * 250 + i, (v / np.sqrt(v @ v)).tolist()) for i, v in enumerate(own)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = df.repartitionByRange(parts, "vec_id")
+    assert sorted(tuple(r) for r in topk.top_k(df, 5).collect()) == _scores(rows, 5)
+
+
 # --- Jaccard join ---
 
 
