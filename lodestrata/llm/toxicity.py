@@ -4,8 +4,9 @@ Words become symbols: insult, threat, target, negation, report, other; sentence
 and line ends part the clauses. Transducers read the symbols and write symbols:
 
 * negation: what stands within three words after a negation is written as negated;
-* reported speech: what follows a reporting verb or a quotation mark, to the end of
-  the clause, is written as quoted;
+* reported speech: what follows a reporting verb or an opening quotation mark, to the
+  closing one or the end of the clause, is written as quoted. Within a line of a text
+  the marks open and close by turns;
 * target: an insult in a clause with a target is written as directed, a threat
   counts only where a target follows or precedes it in the clause;
 * weights: each symbol that is left gets its weight.
@@ -69,9 +70,9 @@ REPORTS = (
     " dit sagte dijo"
 ).split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, CLOSE = range(8)
 # symbols that only transducers write
-NEGATED, QUOTED, DIRECTED, AIMED, CARRIED = range(7, 12)
+NEGATED, QUOTED, DIRECTED, AIMED, CARRIED = range(8, 13)
 # Weights of what is left after all transducers. AIMED is a target
 # after an insult, CARRIED a threat that has found its target.
 WEIGHTS = {INSULT: 1.0, DIRECTED: 1.5, AIMED: 0.5, CARRIED: 1.5, NEGATED: 0.1, QUOTED: 0.2}
@@ -107,6 +108,7 @@ def reported() -> Transducer:
     for state in (0, 1):
         t.arcs[state, REPORT] = (1, OTHER)
         t.arcs[state, END] = (0, END)
+        t.arcs[state, CLOSE] = (0, OTHER)
     for symbol in (INSULT, THREAT, NEGATED):
         t.arcs[1, symbol] = (1, QUOTED)
     return t
@@ -138,7 +140,7 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     names = {(0, 0): 0}
     while todo:
         pair = todo.pop()
-        for symbol in range(7):
+        for symbol in range(8):
             a, middle = first.step(pair[0], symbol)
             b, written = second.step(pair[1], middle)
             if (a, b) not in seen:
@@ -153,8 +155,8 @@ def machine() -> tuple[list[list[int]], list[list[float]]]:
     """Next state and weight by state and input symbol, of all transducers together."""
     whole = compose(compose(negation(), reported()), target())
     states = 1 + max(s for s, _ in whole.arcs)
-    step = [[whole.arcs[s, x][0] for x in range(7)] for s in range(states)]
-    gain = [[WEIGHTS.get(whole.arcs[s, x][1], 0.0) for x in range(7)] for s in range(states)]
+    step = [[whole.arcs[s, x][0] for x in range(8)] for s in range(states)]
+    gain = [[WEIGHTS.get(whole.arcs[s, x][1], 0.0) for x in range(8)] for s in range(states)]
     return step, gain
 
 
@@ -212,6 +214,34 @@ _END = np.zeros(256, dtype=bool)
 _END[[ord(c) for c in ".!?;:\n\r|"]] = True
 
 
+def _marks(raw: np.ndarray, bounds: np.ndarray, words, owner: np.ndarray) -> np.ndarray:
+    """REPORT or CLOSE for each word, by the last quotation mark before it; 0 without one.
+
+    Only marks after the word before, within the word's own text and clause, count.
+    """
+    at = np.flatnonzero(raw == 34)
+    out = np.zeros(len(words.start), np.int64)
+    if not len(at):
+        return out
+    # number of each mark in its line of its text
+    line = np.searchsorted(np.flatnonzero((raw == 10) | (raw == 13)), at)
+    text = np.searchsorted(bounds, at, side="right")
+    head = np.ones(len(at), dtype=bool)
+    head[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
+    number = np.arange(len(at))
+    number -= np.maximum.accumulate(np.where(head, number, 0))
+    since = bounds[owner]
+    since[1:] = np.maximum(since[1:], words.end[:-1])
+    ends = np.flatnonzero(_END[raw])
+    if len(ends):
+        last = np.searchsorted(ends, words.start) - 1
+        since = np.maximum(since, np.where(last >= 0, ends[last] + 1, 0))
+    last = np.searchsorted(at, words.start) - 1
+    some = (last >= 0) & (at[last] >= since)
+    out[some] = np.where(number[last[some]] % 2 == 0, REPORT, CLOSE)
+    return out
+
+
 def evidence(column: pa.Array, lexicon: Lexicon, table) -> np.ndarray:
     """Sum of the clause weights of every text (lower-cased) of a column."""
     step, gain = table
@@ -225,12 +255,10 @@ def evidence(column: pa.Array, lexicon: Lexicon, table) -> np.ndarray:
             continue
         symbol, strength = lexicon.classes(raw, words)
         ends = np.cumsum(_END[raw])
-        quotes = np.cumsum(raw == 34)
         owner = words.owner()
         gap = np.zeros(len(symbol), np.int64)
         gap[1:] = ends[words.start[1:]] - ends[words.end[:-1] - 1]
-        quoted = np.zeros(len(symbol), np.int64)
-        quoted[1:] = quotes[words.start[1:]] - quotes[words.end[:-1] - 1]
+        quoted = _marks(raw, own - own[0], words, owner)
         opens = gap > 0
         opens[0] = True
         opens[1:] |= owner[1:] != owner[:-1]
@@ -244,7 +272,7 @@ def evidence(column: pa.Array, lexicon: Lexicon, table) -> np.ndarray:
             rows = symbol[a:b].tolist(), quoted[a:b].tolist(), strength[a:b].tolist()
             for x, q, much in zip(*rows, strict=True):
                 if q:
-                    state = step[state][REPORT]
+                    state = step[state][q]
                 total += gain[state][x] * much
                 state = step[state][x]
             out[lo + owner[a]] += total

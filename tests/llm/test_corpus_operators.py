@@ -314,6 +314,31 @@ def test_grammar_scores_clauses():
     assert _evidence("") == 0
 
 
+def test_quotation_marks_hold_within_their_text_and_pair():
+    import pyarrow as pa
+
+    lexicon, table = toxicity.Lexicon(toxicity.fixed_words(), {}), toxicity.machine()
+    texts = [
+        ("you are a worthless idiot", 3.0),
+        ('"you are an idiot"', 0.2),
+        ('the end."', 0.0),
+        ('she said "hello." you are an idiot', 1.5),
+        ('the "word" you idiot', 1.5),
+        ('he said "well" you idiot', 1.5),
+        ('a 5" pipe\nthe word "idiot"', 0.2),
+        ('this is "well" and "an idiot', 0.2),
+        ('not "well", idiot', 0.1),
+        ('"', 0.0),
+        ("", 0.0),
+        (None, 0.0),
+    ]
+    for text, want in texts:
+        # alone, first, and after texts with and without a mark at the end
+        for before in ([], ['he wrote "so"'], ['the end "'], ["no mark"], ["", '"']):
+            found = toxicity.evidence(pa.array([*before, text, 'it "is'], pa.string()), lexicon, table)
+            assert found[len(before)] == pytest.approx(want), (before, text)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = QUERIES["op10_toxicity"](spark, sf_dir)
