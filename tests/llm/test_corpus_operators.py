@@ -260,6 +260,33 @@ def test_language_model_of_odd_tables(spark):
     assert lm_score.score(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_network_learns_from_every_training_document(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices("abcdefghij", k=30))) for i in range(1_500)]
+
+    def of_the_last(rows):
+        found = lm_score.score(plain.documents(spark, rows), F.col("doc_id") < 1_499)
+        return found.where("doc_id = 1499").first().score
+
+    want = of_the_last(rows)
+    assert of_the_last(rows) == want
+    for i in (1, 400, 800, 1_498):
+        # the same counts in another order
+        other = [(d, " ".join(sorted(t.split())) if d == i else t) for d, t in rows]
+        assert of_the_last(other) != want, i
+
+
+def test_weights_are_averaged_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "FAN", 2)
+    rows = [(p, float(p + 1), np.full(3, p, np.float32).tobytes()) for p in range(7)]
+    found = spark.createDataFrame(rows, "part long, n double, flat binary")
+    few = lm_score._averaged(found, 7).toArrow()
+    assert few.num_rows <= 2
+    total, flat = lm_score._mean(few)
+    assert total == 28
+    assert flat == pytest.approx(np.full(3, sum(p * (p + 1) for p in range(7)) / 28))
+
+
 def test_network_sums_to_one_and_carries_its_state():
     counts = np.array([50.0, 20, 10, 5, 5, 2, 1])
     model = gru.create(counts, 7.0)
