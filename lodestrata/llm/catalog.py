@@ -12,9 +12,11 @@ from lodestrata.llm import (
     jaccard_join,
     licenses,
     lm_score,
+    merkle,
     pii,
     sentencepieces,
     sharding,
+    token_alignment,
     topk,
     toxicity,
     url_filter,
@@ -106,3 +108,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sentencepieces.add_pieces(documents, sentencepieces.load())
     return coded.select("doc_id", "n_pieces", "round_trip", "piece_ids")
+
+
+@query("op11_merkle_manifest", merkle.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.measures(table(spark, sf_dir, "documents"), token_alignment.load())
