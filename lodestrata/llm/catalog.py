@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import (
+    chosen_path,
     decontamination,
     jaccard_join,
     licenses,
@@ -115,6 +116,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
 
 
+@query("op12_minhash_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_copies(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @query("op13_tokenizer_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.measures(table(spark, sf_dir, "documents"), token_alignment.load())

@@ -139,3 +139,92 @@ def base_scores(rows):
         )
         for d, own in tokens
     }
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    """Leaf of a row's values in their order."""
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree_levels(nodes, fan=16):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        levels.append([digest("".join(low[i : i + fan])) for i in range(0, len(low), fan)])
+    return levels
+
+
+def proof(levels, i, fan=16):
+    """(left, right) siblings of node i, level by level."""
+    steps = []
+    for low in levels[:-1]:
+        begin = i // fan * fan
+        steps.append(("".join(low[begin:i]), "".join(low[i + 1 : begin + fan])))
+        i //= fan
+    return steps
+
+
+def merkle(rows):
+    """Rows (doc_id, source, lang, n_chars, text) to the columns of operator 11."""
+    order = sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[0] is not None, r[0] or 0, leaf(r)))
+    sources: dict = {}
+    for r in order:
+        sources.setdefault(r[1], []).append(r)
+    trees = [tree_levels([leaf(r) for r in own]) for own in sources.values()]
+    whole = tree_levels([t[-1][0] for t in trees]) if trees else []
+    out = []
+    for k, own in enumerate(sources.values()):
+        for i, r in enumerate(own):
+            steps = proof(trees[k], i) + proof(whole, k)
+            changed = r
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None:
+                changed = (*r[:4], lowered(r[4]))
+            node = leaf(changed)
+            for left, right in steps:
+                node = digest(left + node + right)
+            root = whole[-1][0]
+            siblings = digest("".join(left + right for left, right in steps))
+            out.append((r[0], leaf(r), trees[k][-1][0], root, siblings, node, node == root))
+    return out
+
+
+def alignment(rows, aligner):
+    """Columns of operator 13, every whole text tokenised at once and by itself."""
+    per, links = [], Counter()
+    for doc_id, text in rows:
+        own, groups, n_a, n_b = [], [], 0, 0
+        if text:
+            a = aligner.a.encode(" " + text, add_special_tokens=False).ids
+            b = aligner.b.encode(text)
+            bytes_a, bytes_b = [aligner.bytes_a[i] for i in a], [aligner.bytes_b[i] for i in b]
+            if b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+                n_a, n_b = len(a), len(b)
+                ends_a, ends_b = _ends(bytes_a), _ends(bytes_b)
+                x = y = 0
+                for end in sorted(set(ends_a) & set(ends_b)):
+                    i, j = ends_a[end] + 1, ends_b[end] + 1
+                    own.append((a[i - 1], b[j - 1]))
+                    groups.append(",".join(map(str, a[x:i])) + "|" + ",".join(map(str, b[y:j])))
+                    x, y = i, j
+        links.update(own)
+        per.append((doc_id, n_a, n_b, groups, own))
+    top: Counter = Counter()
+    for (_, b), n in links.items():
+        top[b] = max(top[b], n)
+    return [
+        (d, n_a, n_b, len(g), len(own), sum(links[x] == top[x[1]] for x in own), sum(links[x] for x in own),
+         digest(";".join(g)) if g else "")
+        for d, n_a, n_b, g, own in per
+    ]
+
+
+def _ends(parts):
+    out, at = {}, 0
+    for k, part in enumerate(parts):
+        at += len(part)
+        out[at] = k
+    return out
