@@ -216,8 +216,7 @@ def proofs(manifest: Manifest) -> DataFrame:
     `path` is an array of (left, right), from the leaf to the root.
     """
     step = "array<struct<left:string,right:string>>"
-    start = manifest.whole.levels[0].sparkSession.range(1)
-    start = start.select(F.lit("").alias("tree"), F.array().cast(step).alias("path"), F.lit("").alias("facts"))
+    start = manifest.whole.tops().select("tree", F.array().cast(step).alias("path"), F.lit("").alias("facts"))
     above = _proved(manifest.whole, start)
     above = stage(above.select("row.tree", "path", F.col("node").alias("facts")), "paths")
     found = _proved(manifest.sources, above)
