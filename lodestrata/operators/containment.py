@@ -39,7 +39,7 @@ def _grams(text: Column, length: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?=([^ ]{{{length}}}))"), 1)
 
 
-def _needle_grams(parts: Sequence[str], gram: int) -> tuple[Column, Column]:
+def needle_grams(parts: Sequence[str], gram: int) -> tuple[Column, Column]:
     """(gram length, grams) of a needle: the longest its words allow."""
     text = F.concat_ws(" ", *parts)
     longest = F.array_max(F.transform(F.split(text, " "), F.length))
@@ -50,13 +50,13 @@ def _needle_grams(parts: Sequence[str], gram: int) -> tuple[Column, Column]:
     return size, by_size
 
 
-def _text_grams(text: Column, sizes: Sequence[int]) -> Column:
+def text_grams_of(text: Column, sizes: Sequence[int]) -> Column:
     """Grams of a text in the lengths the needles use; '' stands for no gram."""
     found = [F.array(F.lit("")) if n == 0 else _grams(text, n) for n in sorted(sizes)]
     return F.array_distinct(found[0] if len(found) == 1 else F.concat(*found))
 
 
-def _holds(text: Column, parts: Sequence[str]) -> Column:
+def holds(text: Column, parts: Sequence[str]) -> Column:
     test = F.contains(text, F.col(parts[0]))
     for p in parts[1:]:
         test = test & F.contains(text, F.col(p))
@@ -85,7 +85,7 @@ def contains_match(
         needles = needles.filter(F.col(p).isNotNull())
         if not allow_empty:
             needles = needles.filter(F.col(p) != "")
-    size, grams = _needle_grams(parts, gram)
+    size, grams = needle_grams(parts, gram)
     # The distinct needles are read several times below, so they are written once.
     distinct = needles.dropDuplicates().withColumns(
         {"_size": size, "_needle": F.monotonically_increasing_id()}
@@ -129,8 +129,8 @@ def _probe(
         F.count("*").alias("_n")
     )
     keys = _rarest(needles, use).drop("_n")
-    probed = texts.withColumn("_gram", F.explode(_text_grams(F.col(text), sizes)))
-    test = (F.col("t._gram") == F.col("k._gram")) & _holds(F.col(text), parts)
+    probed = texts.withColumn("_gram", F.explode(text_grams_of(F.col(text), sizes)))
+    test = (F.col("t._gram") == F.col("k._gram")) & holds(F.col(text), parts)
     return probed.alias("t").join(F.broadcast(keys.alias("k")), test).drop("_gram")
 
 
@@ -145,7 +145,7 @@ def _blocked(
     texts = stage(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
     # One slot a hash of a needle gram: at most FILTER_SLOTS numbers are broadcast.
     used = needles.select(F.explode("_grams").alias("_gram")).select(_slot("_gram").alias("_slot"))
-    text_grams = texts.select("_row", F.explode(_text_grams(F.col(text), sizes)).alias("_gram"))
+    text_grams = texts.select("_row", F.explode(text_grams_of(F.col(text), sizes)).alias("_gram"))
     text_grams = text_grams.withColumn("_slot", _slot("_gram"))
     text_grams = text_grams.join(F.broadcast(used.distinct()), "_slot", "left_semi").drop("_slot")
     text_grams = stage(text_grams, "text_grams")
@@ -162,5 +162,5 @@ def _blocked(
     candidates = spread_texts.join(spread_keys.drop("_salts"), ["_gram", "_salt"])
     # Only the row key travels with a gram; the text is joined back for the test.
     return texts.join(candidates.drop("_gram", "_salt"), "_row").filter(
-        _holds(F.col(text), parts)
+        holds(F.col(text), parts)
     ).drop("_row")

@@ -160,6 +160,13 @@ def song_mapping(
     # Read as needles, as direct rows and by the options below: computed once.
     tracks = stage(tracks, "song_tracks")
     pairs = match_videos(tracks, videos, allow_empty, strategy)
+    return assemble(tracks, pairs, as_of, isrc, manual)
+
+
+def assemble(
+    tracks: DataFrame, pairs: DataFrame, as_of, isrc: bool = False, manual: DataFrame | None = None
+) -> DataFrame:
+    """The mapping table of tracks and of the (song, video) pairs found."""
     matched = pairs.select(
         *SONG,
         F.col("video_id").alias("youtube_video_id"),

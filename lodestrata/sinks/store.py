@@ -137,7 +137,10 @@ class Change:
     def files(self, name: str, buckets: Iterable[int] | None = None) -> list[str]:
         return self._view().files(name, buckets)
 
-    def _write(self, name: str, rows: DataFrame, buckets: Sequence[int] | None) -> dict[int, str]:
+    def folders(self, name: str) -> dict[int, list[str]]:
+        return self._folders.get(name, {})
+
+    def _write(self, name: str, rows: DataFrame) -> dict[int, str]:
         """Write rows by bucket; the folder of every bucket that got some."""
         spark, folder = self.store.spark, f"{self.label}-{uuid.uuid4().hex[:8]}"
         path = f"{self.store.root}/{name}/{folder}"
@@ -152,12 +155,12 @@ class Change:
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows; nothing that is there is read or rewritten."""
-        for bucket, folder in self._write(name, rows, None).items():
+        for bucket, folder in self._write(name, rows).items():
             self._folders.setdefault(name, {}).setdefault(bucket, []).append(folder)
 
     def replace(self, name: str, rows: DataFrame, buckets: Sequence[int] | None = None) -> None:
         """The rows take the place of the whole table, or of these buckets."""
-        written = self._write(name, rows, buckets)
+        written = self._write(name, rows)
         own = self._folders.setdefault(name, {})
         for bucket in list(own) if buckets is None else buckets:
             own.pop(bucket, None)
