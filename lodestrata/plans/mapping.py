@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestrata import schemas
 from lodestrata.functions import is_blank, natural_key, normalize, song_id
 from lodestrata.operators.containment import contains_match
+from lodestrata.operators.identity import same_by_code
 from lodestrata.session import stage
 
 # Method names and their confidence.
@@ -118,15 +119,14 @@ def _direct_rows(tracks: DataFrame) -> DataFrame:
 
 
 def isrc_links(tracks: DataFrame) -> DataFrame:
-    """Tracks that share an ISRC with another song's track, put under one song.
+    """Tracks of songs that share an ISRC, directly or through others, under one song.
 
-    The lowest song_id of an ISRC stands for it; a linear pass, no pairs.
+    The lowest song_id that is reachable over shared codes stands for all of them.
     """
     coded = tracks.filter(~is_blank("isrc_code"))
-    canonical = coded.groupBy("isrc_code").agg(
-        F.min(F.struct(*SONG)).alias("_song"), F.min("song_id").alias("_low"), F.max("song_id").alias("_high")
-    ).filter("_low <> _high")
-    moved = coded.join(canonical, "isrc_code").filter(F.col("song_id") != F.col("_song.song_id"))
+    same = same_by_code(coded, "song_id", "isrc_code").filter("song_id <> least")
+    names = coded.groupBy(F.col("song_id").alias("least")).agg(F.min(F.struct(*SONG)).alias("_song"))
+    moved = coded.join(same, "song_id").join(names, "least")
     return _direct_rows(moved.drop(*SONG).select("*", "_song.*"))
 
 

@@ -55,12 +55,15 @@ class Matcher:
         #: Folders of the indexes that the last update has opened.
         self.opened: dict[str, list[str]] = {}
 
-    def update(self, tracks: DataFrame, videos: DataFrame) -> None:
+    def update(self, tracks: DataFrame, videos: DataFrame, afresh: bool = False) -> None:
         """Take in tracks and videos, one row each: new ones and such as may have changed.
 
         ``tracks`` as from `mapping.song_tracks`, ``videos`` from `mapping.matchable_videos`.
+        ``afresh`` forgets what is stored, in the same commit.
         """
         change = self.store.change()
+        if afresh:
+            change.clear()
         tracks = stage(tracks.select(*self.store.tables["tracks"].struct().names), "tracks")
         videos = stage(videos.select(*self.store.tables["videos"].struct().names), "videos")
         fresh = stage(self._take_tracks(change, tracks), "fresh_songs")

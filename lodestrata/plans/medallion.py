@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from lodestrata import schemas
 from lodestrata.functions import is_blank
 from lodestrata.operators import monitoring, quality
-from lodestrata.operators.merge import insert_if_absent, merge_upsert
 from lodestrata.plans import bronze, gold, mapping, silver
-from lodestrata.session import delete_path, path_exists, rename_path
+from lodestrata.plans.matching import Matcher
+from lodestrata.session import delete_path, path_exists, rename_path, stage
+from lodestrata.sinks.store import Store, Table
 from lodestrata.sinks.tables import append_new, write_partitions
 from lodestrata.sources.tables import register
 
@@ -53,6 +54,7 @@ def _replaced(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     The new version is complete beside the old one before that is touched, and
     takes its place by renaming; ``recover`` ends what a lost run began.
     """
+    recover(spark, path)
     df.write.mode("overwrite").parquet(f"{path}__new")
     delete_path(spark, f"{path}__old")
     if path_exists(spark, path):
@@ -72,16 +74,44 @@ def recover(spark: SparkSession, path: str) -> None:
         rename_path(spark, f"{path}__old", path)
 
 
-def _merged(spark: SparkSession, paths: Paths, name: str, new: DataFrame) -> DataFrame:
-    """Known table with a batch's rows merged in, by the table's own rules."""
+#: Buckets of the silver tables: so many that a bucket suits a task at the tables' full size.
+BUCKETS = 64
+#: Tables whose bucket is not picked by the whole key: rows of one owner lie together.
+_OWNERS = {
+    "silver_spotify_album_artist": ("album_id",),
+    "silver_spotify_track_artist": ("track_id",),
+}
+ENTITIES = (
+    "silver_spotify_artist",
+    "silver_spotify_album",
+    "silver_spotify_album_artist",
+    "silver_spotify_track",
+    "silver_spotify_track_artist",
+    "silver_youtube_channel",
+    "silver_youtube_video",
+)
+
+
+def silver_store(spark: SparkSession, paths: Paths) -> Store:
+    """The silver entities, which change together."""
+    tables = {
+        name: Table(
+            schemas.TABLES[name],
+            schemas.PRIMARY_KEYS[name],
+            _OWNERS.get(name, ()),
+            schemas.UPDATED_COLUMNS.get(name),
+        )
+        for name in ENTITIES
+    }
+    return Store(spark, paths.table("silver"), tables, BUCKETS)
+
+
+def read_table(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
+    """A table of the deployment, wherever it lies; ends a replacement that was cut off."""
+    if name in ENTITIES:
+        return silver_store(spark, paths).read(name)
     recover(spark, paths.table(name))
-    if not path_exists(spark, paths.table(name)):
-        return new
-    old = spark.read.schema(new.schema).parquet(paths.table(name))
-    keys = list(schemas.PRIMARY_KEYS[name])
-    if name in schemas.UPDATED_COLUMNS:
-        return merge_upsert(old, new, keys, schemas.UPDATED_COLUMNS[name])
-    return insert_if_absent(old, new, keys)
+    return spark.read.parquet(paths.table(name))
 
 
 def run_silver(
@@ -95,8 +125,8 @@ def run_silver(
     """Silver tables, mapping, checks and run log.
 
     By default rebuilt from all of bronze. ``only_batch`` parses the documents
-    of this batch alone and merges them into the tables that are there; each table is
-    rewritten, the documents of other batches are not parsed again.
+    of this batch alone, merges them into the buckets they fall into, and compares only new
+    songs and new videos; see `sinks.store` and `matching`. Both ways end in the same tables.
 
     The run log gets one row a platform for the batch, ``failed`` with the error if the
     run fails; a repeated run replaces them.
@@ -169,24 +199,25 @@ def _silver(
         channel=silver.channels(video, keep),
         video=silver.videos(video, keep),
     )
-    tables = {}
+    store = silver_store(spark, paths)
+    touched = stage(_touched_tracks(store, entities), "touched") if only_batch else None
+    change = store.change()
     for name, df in entities.tables().items():
         if only_batch:
-            merged = _merged(spark, paths, name, df)
-            tables[name] = _replaced(spark, merged, paths.table(name))
+            change.merge(name, df)
         else:
-            tables[name] = _replaced(spark, df, paths.table(name))
-    stamp = F.lit(as_of).cast("timestamp_ntz")
-    tracks = mapping.song_tracks(
-        mapping.primary_artist_left(
-            tables["silver_spotify_track"],
-            tables["silver_spotify_track_artist"],
-            tables["silver_spotify_artist"],
-        )
+            change.replace(name, df)
+    change.commit()
+    tables = {name: store.read(name) for name in ENTITIES}
+    matcher = Matcher(spark, paths.table("silver_matching"), BUCKETS)
+    named = _named_tracks(store, touched)
+    new_videos = _kept(entities.video, tables["silver_youtube_video"]) if only_batch else tables["silver_youtube_video"]
+    matcher.update(
+        mapping.song_tracks(named), mapping.matchable_videos(new_videos), afresh=not only_batch
     )
-    videos = mapping.matchable_videos(tables["silver_youtube_video"])
-    linked = mapping.song_mapping(tracks, videos, stamp)
-    tables["silver_song_mapping"] = _stored(spark, linked, paths.table("silver_song_mapping"))
+    stamp = F.lit(as_of).cast("timestamp_ntz")
+    linked = matcher.mapping(stamp)
+    tables["silver_song_mapping"] = _replaced(spark, linked, paths.table("silver_song_mapping"))
 
     checks = quality.silver_checks(tables, batch_id, stamp).withColumn("batch_id", F.lit(batch_id))
     write_partitions(checks, paths.table("silver_data_quality_log"))
@@ -194,20 +225,48 @@ def _silver(
     return tables, {p: (o.get["n"], o.get["bad"]) for p, o in seen.items()}
 
 
+def _touched_tracks(store: Store, batch: silver.Silver) -> DataFrame:
+    """Ids of the tracks whose song a batch may change: its own, and those of renamed artists."""
+    known = store.read("silver_spotify_artist", store.touched("silver_spotify_artist", batch.artist))
+    known = known.select("artist_id", F.col("artist_name").alias("old_name"))
+    renamed = batch.artist.join(known, "artist_id").filter("old_name <> artist_name")
+    theirs = store.read("silver_spotify_track_artist").join(renamed, "artist_id", "left_semi")
+    own = batch.track.select("track_id").unionByName(batch.track_artist.select("track_id"))
+    return own.unionByName(theirs.select("track_id")).distinct()
+
+
+def _named_tracks(store: Store, touched: DataFrame | None) -> DataFrame:
+    """Tracks with their primary artist, all or those touched."""
+    if touched is None:
+        parts = [store.read(n) for n in ("silver_spotify_track", "silver_spotify_track_artist")]
+    else:
+        buckets = store.touched("silver_spotify_track", touched)
+        parts = [
+            store.read(n, buckets).join(touched, "track_id", "left_semi")
+            for n in ("silver_spotify_track", "silver_spotify_track_artist")
+        ]
+    return mapping.primary_artist_left(*parts, store.read("silver_spotify_artist"))
+
+
+def _kept(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The stored rows of a batch's videos: their first title, their newest views."""
+    return stored.join(batch.select("video_id"), "video_id", "left_semi")
+
+
 def run_gold(
     spark: SparkSession, paths: Paths, as_of: datetime, faithful: bool = False
 ) -> dict[str, DataFrame]:
     """Rebuild gold from silver; the day's snapshot replaces only its own day."""
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(paths.table(name))
+        return read_table(spark, paths, name)
 
     stamp = F.lit(as_of).cast("timestamp_ntz")
     link = read("silver_song_mapping")
     track, album = read("silver_spotify_track"), read("silver_spotify_album")
     artist, channel = read("silver_spotify_artist"), read("silver_youtube_channel")
     songs = gold.dim_song(link, track, album, read("silver_youtube_video"), stamp, faithful)
-    tables = {"gold_dim_song": _stored(spark, songs, paths.table("gold_dim_song"))}
+    tables = {"gold_dim_song": _replaced(spark, songs, paths.table("gold_dim_song"))}
     plans = {
         "gold_dim_artist": gold.dim_artist(
             artist, read("silver_spotify_track_artist"), channel, link, faithful
@@ -221,7 +280,7 @@ def run_gold(
         ),
     }
     for name, df in plans.items():
-        tables[name] = _stored(spark, df, paths.table(name))
+        tables[name] = _replaced(spark, df, paths.table(name))
     snapshot = gold.song_daily_snapshot(tables["gold_dim_song"], F.to_date(stamp), stamp)
     name = "gold_fact_song_daily_snapshot"
     write_partitions(snapshot, paths.table(name), by="date_id")

@@ -137,6 +137,10 @@ class Change:
     def files(self, name: str, buckets: Iterable[int] | None = None) -> list[str]:
         return self._view().files(name, buckets)
 
+    def clear(self) -> None:
+        """Empty all tables."""
+        self._folders.clear()
+
     def folders(self, name: str) -> dict[int, list[str]]:
         return self._folders.get(name, {})
 

@@ -107,3 +107,42 @@ def test_only_touched_index_files_are_read(spark, scratch):
     assert 1 <= len(matcher.opened["title_grams"]) <= 2
     assert len(matcher.opened["song_grams"]) < stored["song_grams"] / 4
     assert matcher.mapping(as_of()).filter("song_title_normalized = '%s' AND youtube_video_id IS NOT NULL" % title[0]).count() == 1
+
+
+# --- records that are one thing ---
+
+
+def plain_least(pairs):
+    least = {g: g for g, _ in pairs}
+    while True:
+        codes = {}
+        for g, c in pairs:
+            codes[c] = min(codes.get(c, least[g]), least[g])
+        new = {g: min([least[g], *(codes[c] for h, c in pairs if h == g)]) for g in least}
+        if new == least:
+            return sorted(least.items())
+        least = new
+
+
+def test_same_by_code(spark):
+    from lodestrata.operators.identity import same_by_code
+
+    rnd = random.Random(1)
+    chain = list(range(100, 140))
+    rnd.shuffle(chain)
+    pairs = [(g, f"c{i}") for i, (a, b) in enumerate(zip(chain, chain[1:])) for g in (a, b)]
+    pairs += [(g, f"r{i}") for i in range(7) for g in (200 + i, 200 + (i + 1) % 7)]  # a ring
+    pairs += [(300 + i, "hot") for i in range(50)] + [(1, "alone"), (2, "x"), (2, "x")]
+    pairs += [(rnd.randint(400, 460), f"q{rnd.randint(0, 45)}") for _ in range(80)]
+    df = spark.createDataFrame([*pairs, (None, "hot"), (5, None)], "r long, c string")
+    assert rows(same_by_code(df, "r", "c")) == plain_least(pairs)
+    assert same_by_code(df.limit(0), "r", "c").count() == 0
+
+
+def test_isrc_links_are_transitive(spark):
+    given = [("t1", "A", "I1", "x"), ("t2", "B", "I1", "x"), ("t3", "B", "I2", "x"), ("t4", "C", "I2", "x"), ("t5", "D", "", "x")]
+    linked = mapping.isrc_links(tracks(spark, given)).collect()
+    assert len({r.song_id for r in linked}) == 1
+    ids = {r.track_id: r.song_id for r in tracks(spark, given).collect()}
+    least = min(ids[t] for t in ("t1", "t2", "t4"))
+    assert {r.spotify_track_id for r in linked} == {t for t in ("t1", "t2", "t3", "t4") if ids[t] != least}
