@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +47,11 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str]) ->
 
 
 def new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key the target does not have, each key once."""
+    """The rows whose key the target does not have, each key once; null is a key too."""
     fresh = rows.dropDuplicates(list(keys))
-    return fresh.join(target.select(*keys), list(keys), "left_anti")
+    known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    return fresh.join(known, reduce(and_, same), "left_anti")
 
 
 def merge_patch(

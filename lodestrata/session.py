@@ -78,6 +78,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders that a pattern finds, wherever they are stored."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.globStatus(hadoop_path) or [])
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Write an empty file, with the folders above it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hadoop_path, True).close()
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the file.
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestrata.operators.merge import insert_if_absent, merge_upsert
-from lodestrata.session import delete_path, path_exists
+from lodestrata.session import delete_path, folder_names, path_exists
 
 _STATE = "name STRING, bucket INT, folder STRING, buckets INT"
 
@@ -60,10 +60,8 @@ class Store:
 
     def _states(self) -> list[int]:
         """Numbers of the complete states, oldest first."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_states/*/_SUCCESS")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = fs.globStatus(path) or []
-        return sorted(int(f.getPath().getParent().getName()) for f in found)
+        found = folder_names(self.spark, f"{self.root}/_states/*")
+        return [int(n) for n in found if path_exists(self.spark, f"{self.root}/_states/{n}/_SUCCESS")]
 
     def _load(self, number: int) -> list:
         return self.spark.read.schema(_STATE).parquet(f"{self.root}/_states/{number:012d}").collect()
@@ -110,9 +108,7 @@ class Store:
         used = {(r.name, r.folder) for n in states[-keep:] for r in self._load(n)}
         old = [f"{self.root}/_states/{n:012d}" for n in states[:-keep]]
         for name in self.tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/*")
-            fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            there = [f.getPath().getName() for f in fs.globStatus(path) or []]
+            there = folder_names(self.spark, f"{self.root}/{name}/*")
             old += [f"{self.root}/{name}/{x}" for x in there if (name, x) not in used]
         for path in old:
             delete_path(self.spark, path)
@@ -146,15 +142,13 @@ class Change:
 
     def _write(self, name: str, rows: DataFrame) -> dict[int, str]:
         """Write rows by bucket; the folder of every bucket that got some."""
-        spark, folder = self.store.spark, f"{self.label}-{uuid.uuid4().hex[:8]}"
+        folder = f"{self.label}-{uuid.uuid4().hex[:8]}"
         path = f"{self.store.root}/{name}/{folder}"
         schema = self.store.tables[name].struct()
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         rows = rows.withColumn("bucket", self.store.bucket(name))
         rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket=*")
-        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found = [f.getPath().getName() for f in fs.globStatus(pattern) or []]
+        found = folder_names(self.store.spark, f"{path}/bucket=*")
         return {int(f.removeprefix("bucket=")): folder for f in found}
 
     def append(self, name: str, rows: DataFrame) -> None:

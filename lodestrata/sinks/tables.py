@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata import schemas
-from lodestrata.operators.merge import new_rows
-from lodestrata.session import delete_path, path_exists
+from lodestrata.session import delete_path
+from lodestrata.sinks.keyindex import KeyIndex
 
 
 def create_tables(
@@ -38,16 +39,17 @@ def by_folder(df: DataFrame, *columns: str) -> DataFrame:
 def append_new(df: DataFrame, path: str, key: str = "raw_id", day: str = "ingested_at") -> None:
     """Append the rows whose key is not there yet, on whatever day it came before.
 
-    The table is partitioned by day; for the check its key column alone is read. The first
-    write and later ones follow the same rule: each key once.
+    The table is partitioned by day and load. Its key index is asked, see `sinks.keyindex`; the
+    first load and later ones follow the same rule: each key once, also the null key.
     """
-    spark = df.sparkSession
-    rows = df.withColumn("ingest_date", F.to_date(day))
-    if path_exists(spark, path):
-        rows = new_rows(spark.read.schema(rows.schema).parquet(path), rows, [key])
-    else:
-        rows = rows.dropDuplicates([key])
-    by_folder(rows, "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(path)
+    load = f"load-{uuid.uuid4().hex}"
+    index = KeyIndex(df.sparkSession, path, key)
+    index.fold(load)
+    rows = index.new_rows(df.withColumn("ingest_date", F.to_date(day)), load)
+    index.begin(load)
+    rows = by_folder(rows, "ingest_date").withColumn("epoch", F.lit(load))
+    rows.write.mode("append").partitionBy("ingest_date", "epoch").parquet(path)
+    index.record(load, df.schema[key].dataType)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
