@@ -8,10 +8,10 @@ a text, texts are held in blocks of about BLOCK_LINKS links: a block asks once f
 pairs, so a frequent pair is one row a block, and the answers meet the block's texts.
 The measures of a text join its documents by SHA-256.
 
-Within a task texts are cut at spaces between a printable ASCII character and an ASCII
-letter. There neither tokenizer joins what stands on both sides (A begins a new word with
-the space; `load` refuses a B that has a piece with a space after another character), so
-distinct parts are tokenised once for some megabytes of text, and parts line up by themselves.
+Within a task texts are cut at single spaces between other characters. There neither
+tokenizer joins what stands on both sides (A begins a new word with the space; `load`
+refuses a B that has a piece with a space after another character), so parts line up by
+themselves, and a task tokenises a part once and keeps the last MEMO_PARTS or so.
 What a task holds grows with the longest part without such a space.
 
 A's text is a space and the text, B adds the space itself. Texts that are null or empty, or
@@ -27,6 +27,7 @@ import json
 import os
 import re
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,17 @@ from lodestrata.session import stage
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of texts whose distinct parts are tokenised together.
+#: Characters of texts whose new parts are tokenised together.
 AT_ONCE = 4 << 20
+#: Parts, and their characters, that a task keeps aligned; beyond, it starts over.
+MEMO_PARTS, MEMO_CHARS = 300_000, 8 << 20
 #: Links of a block, besides single texts that have more.
 BLOCK_LINKS = 1 << 20
-_CUT = re.compile(r"(?<=[!-~]) (?=[A-Za-z])")
+#: Characters up to which a part goes the quicker of two equal ways.
+SHORT = 256
+#: Fixed value: the words that a byte-level BPE of this kind is made on.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 @dataclass(frozen=True)
@@ -106,42 +113,53 @@ class Aligner:
                 self.bytes_b[i] = piece.replace("▁", " ").encode()
         self.length_a = np.array([len(x) for x in self.bytes_a])
         self.length_b = np.array([len(x) for x in self.bytes_b])
-        self.sign_a = [[f"{i}{end}" for i in range(self.size_a)] for end in ",|"]
-        self.sign_b = [[f"{i}{end}" for i in range(self.size_b)] for end in ",;"]
+        self.sign_a = np.array([[f"{i}{end}" for i in range(self.size_a)] for end in ",|"], object)
+        self.sign_b = np.array([[f"{i}{end}" for i in range(self.size_b)] for end in ",;"], object)
+        self.quick = None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in content["model"]["merges"]]
+        ids = [vocabulary["".join(m)] for m in merges]
+        if ids == list(range(256, 256 + len(ids))):
+            # merges in the order of ids: the ids are ranks, and the same tokens come out
+            from tiktoken import Encoding
+
+            ranks = {raw: i for i, raw in enumerate(self.bytes_a) if raw}
+            self.quick = Encoding("a", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def code_type(self) -> type:
+        return np.int32 if self.size_a * self.size_b < 2**31 else np.int64
+
+    def ids_a(self, text: str) -> list[int]:
+        """A's tokens of a space and the text."""
+        if self.quick is None or len(text) > SHORT:
+            return self.a.encode(" " + text, add_special_tokens=False).ids
+        return self.quick.encode_ordinary(" " + text)
 
     def parts(self, texts: list[str]) -> Parts:
         """Tokens, groups and links of every part, and whether the bytes are the part's."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        whole = np.zeros(len(texts), dtype=bool)
-        size = np.zeros(len(texts), np.int64)
-        for i, (text, own, other) in enumerate(zip(texts, ids_a, ids_b, strict=True)):
-            raw = b" " + text.encode()
-            size[i] = len(raw)
-            whole[i] = raw == b"".join(map(self.bytes_a.__getitem__, own)) and raw == b"".join(
-                map(self.bytes_b.__getitem__, other)
-            )
-            if not whole[i]:
-                ids_a[i] = ids_b[i] = []
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([t for x in ids for t in x], np.int64) for ids in (ids_a, ids_b))
-        owner_a, owner_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
+        ids_a, ids_b = list(map(self.ids_a, texts)), self.b.encode(texts, num_threads=1)
+        raw = [b" " + t.encode() for t in texts]
+        whole = np.array([r == b"".join(map(self.bytes_a.__getitem__, x)) for r, x in zip(raw, ids_a, strict=True)], bool)
+        whole &= np.array([r == b"".join(map(self.bytes_b.__getitem__, x)) for r, x in zip(raw, ids_b, strict=True)], bool)
+        for i in np.flatnonzero(~whole):
+            ids_a[i] = ids_b[i] = []
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(texts)) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
         # the whole parts laid end to end, so that one place is one end of a token at most
         end_a, end_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
-        common = np.intersect1d(end_a, end_b)
-        at_a, at_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
-        links = flat_a[at_a] * self.size_b + flat_b[at_b]
-        n_links = np.bincount(owner_a[at_a], minlength=len(texts))
+        at_b = np.searchsorted(end_b, end_a)
+        met = end_b[np.minimum(at_b, max(len(end_b) - 1, 0))] == end_a if len(end_a) else np.zeros(0, bool)
+        at_a, at_b = np.flatnonzero(met), at_b[met]
+        common = end_a[at_a]
+        links = (flat_a[at_a] * self.size_b + flat_b[at_b]).astype(self.code_type())
+        n_links = np.bincount(np.repeat(np.arange(len(texts)), n_a)[at_a], minlength=len(texts))
 
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         last_a, last_b = np.zeros(len(flat_a), np.int64), np.zeros(len(flat_b), np.int64)
         last_a[at_a], last_b[at_b] = 1, 1
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        signs = [self.sign_a[k][i] for k, i in zip(last_a.tolist(), flat_a.tolist(), strict=True)]
-        signs += [self.sign_b[k][i] for k, i in zip(last_b.tolist(), flat_b.tolist(), strict=True)]
-        signs = [signs[i] for i in order.tolist()]
+        signs = np.concatenate([self.sign_a[last_a, flat_a], self.sign_b[last_b, flat_b]])[order].tolist()
         bound = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        groups = ["".join(signs[lo : hi - 1]) + signs[hi - 1][:-1] if hi > lo else "" for lo, hi in zip(bound, bound[1:])]
+        groups = ["".join(signs[lo:hi])[:-1] for lo, hi in zip(bound, bound[1:], strict=False)]
         return Parts(whole, n_a, n_b, n_links, links, groups)
 
 
@@ -154,23 +172,47 @@ class Parts:
     links: np.ndarray
     groups: list[str]
 
-
-def _aligned_texts(texts: list[str], aligner: Aligner):
-    """(n_a, n_b, groups, links) of every text, of which some megabytes are in hand at once."""
-    number: dict[str, int] = {}
-    cut = [[number.setdefault(p, len(number)) for p in _CUT.split(t)] for t in texts]
-    parts = aligner.parts(list(number))
-    start = np.cumsum(parts.n_links) - parts.n_links
-    for own in cut:
-        at = np.array(own)
-        if not parts.whole[at].all():
-            yield 0, 0, "", np.zeros(0, np.int64)
-            continue
-        n = parts.n_links[at]
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        links = parts.links[np.repeat(start[at], n) + step]
-        groups = ";".join([parts.groups[i] for i in own])
-        yield int(parts.n_a[at].sum()), int(parts.n_b[at].sum()), groups, links
+    def joined(self, more: Parts) -> Parts:
+        both = zip(self.arrays(), more.arrays(), strict=True)
+        return Parts(*[np.concatenate(x) for x in both], self.groups + more.groups)
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.whole, self.n_a, self.n_b, self.n_links, self.links
+
+
+class Memo:
+    """Alignments of the parts that a task has met."""
+
+    def __init__(self, aligner: Aligner) -> None:
+        self.aligner = aligner
+        self._empty()
+
+    def _empty(self) -> None:
+        self.number: dict[str, int] = {}
+        self.parts, self.chars = self.aligner.parts([]), 0
+
+    def align(self, texts: list[str]):
+        """(n_a, n_b, groups, links) of every text."""
+        if len(self.number) > MEMO_PARTS or self.chars > MEMO_CHARS:
+            self._empty()
+        number, known = self.number, len(self.number)
+        cut = [[number.setdefault(p, len(number)) for p in _CUT.split(t)] for t in texts]
+        fresh = list(islice(number, known, None))
+        self.chars += sum(map(len, fresh))
+        if fresh:
+            self.parts = self.parts.joined(self.aligner.parts(fresh))
+        parts = self.parts
+        start = np.cumsum(parts.n_links) - parts.n_links
+        for own in cut:
+            at = np.array(own)
+            if not parts.whole[at].all():
+                yield 0, 0, "", parts.links[:0]
+                continue
+            n = parts.n_links[at]
+            last = np.cumsum(n)
+            links = parts.links[np.arange(last[-1]) + np.repeat(start[at] - last + n, n)]
+            groups = ";".join(map(parts.groups.__getitem__, own))
+            yield int(parts.n_a[at].sum()), int(parts.n_b[at].sum()), groups, links
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -182,12 +224,12 @@ def align(texts: DataFrame, pair: Pair) -> DataFrame:
     """Per distinct text: text_key, copies, block, n_a, n_b, n_groups, groups, links.
 
     `groups` is `a1,a2|b1;a3|b2,b3`: ids of A and of B, group by group. `links` holds
-    id of A * size of B + id of B, as 64-bit numbers.
+    id of A * size of B + id of B, in 32 bits if the vocabularies allow it.
     """
     sent = texts.sparkSession.sparkContext.broadcast(pair)
 
     def run(batches):
-        aligner, block, filled = sent.value.opened(), TaskContext.get().partitionId() << 32, 0
+        memo, block, filled = Memo(sent.value.opened()), TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             column = batch.column(0).to_pylist()
             copies, lo = batch.column(1).to_pylist(), 0
@@ -198,7 +240,7 @@ def align(texts: DataFrame, pair: Pair) -> DataFrame:
                     hi += 1
                 keys = [hashlib.sha256(t.encode()).hexdigest() for t in column[lo:hi]]
                 rows = []
-                for key, n, found in zip(keys, copies[lo:hi], _aligned_texts(column[lo:hi], aligner), strict=True):
+                for key, n, found in zip(keys, copies[lo:hi], memo.align(column[lo:hi]), strict=True):
                     n_a, n_b, groups, links = found
                     if filled and filled + len(links) > BLOCK_LINKS:
                         block, filled = block + 1, 0
@@ -222,23 +264,22 @@ def align(texts: DataFrame, pair: Pair) -> DataFrame:
     return texts.select("text", "copies").mapInArrow(run, schema)
 
 
-def _block_pairs(aligned: DataFrame) -> DataFrame:
+def _block_pairs(aligned: DataFrame, kind: type) -> DataFrame:
     """(block, link, n): how often a block's texts link a pair, over all copies."""
 
     def run(batches):
         for batch in batches:
-            codes = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
+            codes = [np.frombuffer(x.as_py(), kind) for x in batch.column(2)]
             size = [len(x) for x in codes]
             block = np.repeat(batch.column(0).to_numpy(), size)
             copies = np.repeat(batch.column(1).to_numpy(), size)
-            code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+            code = np.concatenate(codes) if codes else np.zeros(0, kind)
             for own in np.unique(block):
                 here = block == own
                 links, at = np.unique(code[here], return_inverse=True)
-                n = np.zeros(len(links), np.int64)
-                np.add.at(n, at, copies[here])
+                n = np.bincount(at, copies[here]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(links), own)), pa.array(links), pa.array(n)], ["block", "link", "n"]
+                    [pa.array(np.full(len(links), own)), pa.array(links.astype(np.int64)), pa.array(n)], ["block", "link", "n"]
                 )
 
     rows = aligned.select("block", "copies", "links").mapInArrow(run, "block long, link long, n long")
@@ -259,8 +300,10 @@ def measures(docs: DataFrame, pair: Pair) -> DataFrame:
     found = align(distinct_texts(docs), pair)
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
     found = stage(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
-    pairs = stage(_block_pairs(found), "block_pairs")
-    counts = pair_counts(pairs, pair.opened().size_b)
+    opened = pair.opened()
+    kind = opened.code_type()
+    pairs = stage(_block_pairs(found, kind), "block_pairs")
+    counts = pair_counts(pairs, opened.size_b)
     known = pairs.select("block", "link").join(counts.select("link", "n", "best"), "link")
 
     def judge(texts: pa.Table, answers: pa.Table) -> pa.Table:
@@ -270,7 +313,7 @@ def measures(docs: DataFrame, pair: Pair) -> DataFrame:
         count, best = answers.column("n").to_numpy()[order], answers.column("best").to_numpy()[order]
         n_links, n_best, total = [], [], []
         for blob in texts.column("links"):
-            at = np.searchsorted(link, np.frombuffer(blob.as_py(), np.int64))
+            at = np.searchsorted(link, np.frombuffer(blob.as_py(), kind))
             n_links.append(len(at))
             n_best.append(int(best[at].sum()))
             total.append(int(count[at].sum()))
