@@ -20,7 +20,7 @@ from lodestrata.catalog.roles import (
     text,
     today,
 )
-from lodestrata.operators import backlog, monitoring, quality
+from lodestrata.operators import backlog, monitoring, profile, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
 from lodestrata.session import shared_folder
@@ -447,6 +447,18 @@ def zero_two_days(spark, sf_dir):
     return monitoring.zero_streaks(monitoring.daily_totals(_sparse_runs(spark, sf_dir)), today())
 
 
+@query(
+    f"""WITH {_SPARSE}, {_TOTALS}, {_ZERO}, none AS (
+      SELECT source, date_id, date_id - row_number() OVER (PARTITION BY source ORDER BY date_id)::INT AS island
+      FROM filled LEFT JOIN totals USING (source, date_id) WHERE coalesce(raw, 0) = 0)
+    SELECT source, min(date_id) AS first_day, max(date_id) AS last_day, count(*)::INT AS days
+    FROM none GROUP BY source, island"""
+)
+def silent_runs(spark, sf_dir):
+    """Runs of days on which a source had no records."""
+    return monitoring.silent_runs(monitoring.daily_totals(_sparse_runs(spark, sf_dir)), today())
+
+
 @query(
     f"""WITH {_SPARSE}, {_TOTALS}, {_ZERO}
     SELECT date_id, source, 'low_success_rate' AS rule, 'warning' AS severity FROM totals
@@ -547,6 +559,27 @@ def cache_status(spark, sf_dir):
     return rows.select("p_partkey", "cache_key", "status")
 
 
+@query(
+    """WITH cache AS (SELECT user_id, ts AS stored_at, event_type FROM events WHERE event_type <> 'view'
+      QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_type <> 'error' DESC) = 1)
+    SELECT r.event_id, r.ts, CASE WHEN stored_at IS NULL OR stored_at <= r.ts - INTERVAL 24 HOUR THEN 'MISS'
+      WHEN c.event_type = 'error' THEN 'STALE' ELSE 'HIT' END AS status
+    FROM (SELECT * FROM events WHERE event_type = 'view') r
+    ASOF LEFT JOIN cache c ON r.user_id = c.user_id AND r.ts >= c.stored_at"""
+)
+def cache_status_as_of(spark, sf_dir):
+    """Views as requests, all other events as responses stored before or after."""
+    events = table(spark, sf_dir, "events")
+    query = text("user ", F.col("user_id"))
+    cache = events.filter("event_type <> 'view'").select(
+        text("crawler:spotify:", F.md5(query)).alias("cache_key"),
+        F.when(F.col("event_type") == "error", "[]").otherwise('[{"id":"x"}]').alias("response_items"),
+        F.col("ts").alias("stored_at"),
+    )
+    requests = events.filter("event_type = 'view'").select("event_id", "ts", query.alias("query"))
+    return backlog.cache_status_at(requests, cache, "spotify", "ts").select("event_id", "ts", "status")
+
+
 _ENRICHED = f"""{DOCS},
 audio AS (SELECT l_partkey, s_name AS artist, track_id, p_name FROM docs
   QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, raw_id DESC) = 1),
@@ -630,3 +663,35 @@ def blank_count(spark, sf_dir):
     )
     rows = table(spark, sf_dir, "orders").select(title.alias("title"))
     return _log(quality.check_rows(rows, "orders", quality.missing("title"), BATCH, as_of()))
+
+
+# A day with values three times as high, and one on which half of the payloads are missing.
+@query(
+    f"""WITH e AS (SELECT ts::DATE AS day, CASE WHEN ts::DATE = DATE '{TODAY}' THEN value * 3 ELSE value END AS value,
+      CASE WHEN ts::DATE = DATE '2024-01-20' AND event_id % 2 = 0 THEN NULL ELSE props END AS props FROM events),
+    stepped AS (SELECT day, substring(u, 1, 2) || repeat('0', greatest(length(u) - 2, 0)) AS step FROM (
+      SELECT day, floor(abs(value) * 100 + 0.5)::HUGEINT::VARCHAR AS u FROM e)),
+    counted AS (SELECT day, step::HUGEINT AS step, count(*) AS n FROM stepped GROUP BY ALL),
+    upto AS (SELECT *, sum(n) OVER (PARTITION BY day ORDER BY step) AS c, sum(n) OVER (PARTITION BY day) AS total FROM counted),
+    m AS (SELECT day, '*' AS "column", 'rows' AS metric, count(*)::DOUBLE AS value FROM e GROUP BY 1
+      UNION ALL SELECT day, 'props', 'null_share', round(count_if(props IS NULL) / count(*), 6) FROM e GROUP BY 1
+      UNION ALL SELECT day, 'value', 'null_share', round(count_if(value IS NULL) / count(*), 6) FROM e GROUP BY 1
+      UNION ALL SELECT day, 'value', 'p' || q, min(step)::DOUBLE / 100 FROM upto, (VALUES (50), (90)) t(q)
+        WHERE c * 100 >= total * q GROUP BY day, q),
+    held AS (SELECT *, avg(value) OVER w AS expected, count(value) OVER w AS days FROM m
+      WINDOW w AS (PARTITION BY "column", metric ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+    SELECT day, "column", metric, value, round(expected, 6) AS expected, days, CASE WHEN days < 3 THEN 'new'
+      WHEN metric = 'null_share' AND abs(value - expected) > 0.1 THEN 'warn'
+      WHEN metric <> 'null_share' AND abs(value - expected) > abs(expected) * 0.5 THEN 'warn' ELSE 'pass' END AS status FROM held"""
+)
+def dq_anomaly(spark, sf_dir):
+    """Profiles of two loads a day, added up, and each day held against the seven before."""
+    day = F.to_date("ts")
+    events = table(spark, sf_dir, "events").select(
+        "ts",
+        "event_id",
+        F.when(day == today(), F.col("value") * 3).otherwise(F.col("value")).alias("value"),
+        F.when((day != F.lit("2024-01-20").cast("date")) | (F.col("event_id") % 2 != 0), F.col("props")).alias("props"),
+    )
+    loads = [profile.profile(events.filter(F.col("event_id") % 2 == k), "ts", ["props"], ["value"]) for k in (0, 1)]
+    return profile.anomalies(loads[0].unionByName(loads[1]))

@@ -40,6 +40,29 @@ def page_elements(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT page_id, u.pos::INT AS pos, u.tag, u.inner FROM (SELECT page_id, unnest([
+      {'pos': 0, 'tag': 'div', 'inner': page_id || '<div>' || coalesce(url, '') || '</div>!<!-- <div>no</div> -->'},
+      {'pos': 1, 'tag': 'div', 'inner': coalesce(url, '')},
+      {'pos': 2, 'tag': 'div', 'inner': 'open <DIV id=2>' || page_id},
+      {'pos': 3, 'tag': 'div', 'inner': page_id::VARCHAR},
+      {'pos': 0, 'tag': 'p', 'inner': 'one'}, {'pos': 1, 'tag': 'p', 'inner': coalesce(url, '')}]) AS u FROM pages)"""
+)
+def page_nested(spark, sf_dir):
+    """Elements within their own kind, unclosed, closed too often, and such in comments and scripts."""
+    source = text(
+        '<div class="x">', F.col("page_id"), "<div>", F.coalesce("url", F.lit("")),
+        "</div>!<!-- <div>no</div> --></div></div><p>one<p>", F.coalesce("url", F.lit("")),
+        '</p><script>"<div>"</script><div>open <DIV id=2>', F.col("page_id"),
+    )
+    rows = table(spark, sf_dir, "pages").select("page_id", source.alias("html"))
+    found = [
+        rows.select("page_id", F.posexplode(elements("html", tag)).alias("pos", "inner")).withColumn("tag", F.lit(tag))
+        for tag in ("div", "p")
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _video_renderer():
     c = F.col
     run = F.struct(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata import schemas
 from lodestrata.functions import cache_key, or_default
+from lodestrata.operators.asof import asof_join
 from lodestrata.operators.documents import has_item_list, has_items, json_objects
 
 # How long a finished song and a cached response count.
@@ -68,6 +69,26 @@ def cache_status(
     )
 
 
+def cache_status_at(
+    requests: DataFrame, cache: DataFrame, prefix: str, at: str, query: str = "query", hours: int = CACHE_HOURS
+) -> DataFrame:
+    """Requests with the status that the cache gave them at their own time.
+
+    ``cache`` has all entries that were ever stored, (cache_key, response_items, stored_at);
+    the newest one that was there counts, see :func:`cache_status`.
+    """
+    valid = has_items if prefix == "spotify" else has_item_list
+    asked = requests.withColumn("cache_key", cache_key(prefix, query))
+    entries = cache.select("cache_key", "response_items", "stored_at")
+    met = asof_join(asked, entries, "cache_key", at, "stored_at", ["response_items"])
+    live = F.col("entry.stored_at") > F.col(at) - F.make_dt_interval(F.lit(0), F.lit(hours))
+    items = F.col("entry.response_items")
+    status = F.when(live, F.when(valid(items), "HIT").otherwise("STALE")).otherwise("MISS")
+    return met.withColumn("status", status).withColumn(
+        "response_items", F.when(F.col("status") == "HIT", items)
+    ).drop("entry")
+
+
 def enrich_catalogue(
     catalogue: DataFrame, audio: DataFrame, video: DataFrame
 ) -> DataFrame:

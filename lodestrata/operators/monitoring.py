@@ -127,27 +127,32 @@ def daily_totals(runs: DataFrame) -> DataFrame:
     )
 
 
-def zero_streaks(totals: DataFrame, last_day: Column) -> DataFrame:
-    """Days on which a source had no records for the second day running.
+def silent_runs(totals: DataFrame, last_day: Column) -> DataFrame:
+    """Runs of days without records: (source, first_day, last_day, days), one row a run.
 
-    A day without any run is a day with zero records, so each source's calendar
-    is filled from its first day on; one that starts later has none. ``totals`` has one row per source and day,
-    which keeps the window small however large the run log is.
+    A day without any run is a day with zero records, from the source's first day on up to
+    ``last_day``. The gaps between days with records are the runs; no calendar is made, so
+    a source silent for years is one row. ``totals`` has one row per source and day.
     """
-    firsts = totals.groupBy("source").agg(F.min("date_id").alias("first"))
-    # a sequence to an earlier day would count backwards
-    filled = firsts.filter(F.col("first") <= last_day).select(
-        "source", F.explode(F.sequence("first", last_day)).alias("date_id")
-    )
-    complete = filled.join(totals, ["source", "date_id"], "left").select(
-        "source", "date_id", F.coalesce("raw", F.lit(0)).alias("raw")
-    )
+    known = totals.filter(F.col("date_id") <= last_day)
+    alive = known.filter("raw > 0").select("source", "date_id")
+    # the day before the first one ends nothing, but a run may start after it
+    begin = known.groupBy("source").agg(F.date_sub(F.min("date_id"), 1).alias("date_id"))
+    marks = alive.unionByName(begin)
     w = Window.partitionBy("source").orderBy("date_id")
-    return (
-        complete.withColumn("before", F.lag("raw").over(w))
-        .filter((F.col("raw") == 0) & (F.col("before") == 0))
-        .select("date_id", "source")
-    )
+    gaps = marks.select(
+        "source",
+        F.date_add("date_id", 1).alias("first_day"),
+        F.coalesce(F.date_sub(F.lead("date_id").over(w), 1), last_day).alias("last_day"),
+    ).filter("first_day <= last_day")
+    return gaps.withColumn("days", F.date_diff("last_day", "first_day") + 1)
+
+
+def zero_streaks(totals: DataFrame, last_day: Column) -> DataFrame:
+    """Days on which a source had no records for the second day running."""
+    runs = silent_runs(totals, last_day).filter("days > 1")
+    days = F.sequence(F.date_add("first_day", 1), "last_day")
+    return runs.select(F.explode(days).alias("date_id"), "source")
 
 
 def alerts(runs: DataFrame, last_day: Column) -> DataFrame:
