@@ -49,20 +49,25 @@ def generate_id(value: Column | str) -> Column:
 def is_json(value: Column | str) -> Column:
     """Whether a text is one JSON value and nothing else; false for null.
 
-    The text is put into an array with a seal behind it, its own digest. It is one value if
-    the parser finds just two elements, the second being the seal. Repeated keys are JSON;
-    there is no limit on the size.
+    The text is put into an object with a seal behind it. The seal, its own digest, is
+    read back only if the parser came to the end of the value and found just the seal
+    there. Further fields of the object would pass that, and further elements of an array the
+    same test in an array, but nothing passes both but one value. Repeated keys are JSON; there
+    is no limit on the size.
     """
     c = as_column(value)
     seal = F.md5(c)
-    whole = F.concat(F.lit("["), c, F.lit(',"'), seal, F.lit('"]'))
     limits = {
         "allowSingleQuotes": "false",
         "maxStringLen": str(2**31 - 1),
         "maxNestingDepth": "100000",
     }
-    read = F.from_json(whole, "array<string>", limits)
-    return F.coalesce((F.size(read) == 2) & (F.get(read, F.lit(1)) == seal), F.lit(False))
+
+    def sealed(before: str, after: str) -> Column:
+        whole = F.concat(F.lit(before), c, F.lit(after + ',"seal":"'), seal, F.lit('"}'))
+        return F.coalesce(F.from_json(whole, "seal STRING", limits)["seal"] == seal, F.lit(False))
+
+    return sealed('{"value":', "") & sealed('{"value":[', "]")
 
 
 def cache_key(prefix: str, identifier: Column | str) -> Column:
