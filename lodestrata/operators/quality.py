@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata import schemas
 from lodestrata.functions import is_blank, natural_key
+from lodestrata.operators import profile
 
 # Kinds of check and outcomes.
 CHECK_TYPES = ("schema", "missing", "duplicate", "anomaly", "consistency")
@@ -155,16 +157,57 @@ def split_rejects(df: DataFrame, violated: Column) -> tuple[DataFrame, DataFrame
     return df.filter(~bad), df.filter(bad)
 
 
+def violates(rules: dict[str, tuple[str, Column, str]]) -> Column:
+    """Whether a row breaks any of the rules; one that cannot be decided does not count."""
+    return reduce(or_, [F.coalesce(violated, F.lit(False)) for _, violated, _ in rules.values()])
+
+
+def check_rejects(
+    rejects: DataFrame, tables: Iterable[str], batch_id: str, as_of: Column, severity: str = WARN
+) -> DataFrame:
+    """One row a table: how many rows of a batch were put aside for their length."""
+    checks = []
+    for name in tables:
+        counts = rejects.filter(F.col("table_name") == name).agg(F.count(F.lit(1)).alias("affected_rows"))
+        checks.append(_log_rows(_one(counts, "too_long", "schema", severity), name, batch_id, as_of))
+    return check_log(checks)
+
+
+def check_anomalies(
+    df: DataFrame,
+    table: str,
+    day: str,
+    columns: Sequence[str],
+    numeric: Sequence[str],
+    batch_id: str,
+    as_of: Column,
+    severity: str = WARN,
+) -> DataFrame:
+    """Measures of the last day that are far from the days before, see `operators.profile`."""
+    measured = profile.anomalies(profile.profile(df, day, columns, numeric))
+    last = measured.agg(F.max(F.struct("day")).alias("m")).select(F.col("m.day").alias("day"))
+    off = measured.join(last, "day").agg(F.count_if(F.col("status") == WARN).alias("affected_rows"))
+    return _log_rows(_one(off, f"{day}_profile", "anomaly", severity), table, batch_id, as_of)
+
+
 def silver_checks(tables: dict[str, DataFrame], batch_id: str, as_of: Column) -> DataFrame:
     """The standing checks of the silver layer, with the declared keys."""
     t = tables
     checks = [
+        check_anomalies(
+            t["silver_spotify_track"], "silver_spotify_track", "ingested_at", ["isrc_code"], ["duration_ms"], batch_id, as_of
+        ),
+        check_anomalies(
+            t["silver_youtube_video"], "silver_youtube_video", "ingested_at", ["channel_id"], ["view_count"], batch_id, as_of
+        ),
         check_rows(t["silver_spotify_track"], "silver_spotify_track", missing("isrc_code"), batch_id, as_of),
         check_rows(
             t["silver_youtube_video"], "silver_youtube_video", missing("channel_id", "title"), batch_id, as_of
         ),
     ]
     if "silver_song_mapping" in t:
+        rules = out_of_decimal("match_confidence", 3, 2)
+        checks.append(check_rows(t["silver_song_mapping"], "silver_song_mapping", rules, batch_id, as_of))
         checks.append(
             check_unique(
                 t["silver_song_mapping"],

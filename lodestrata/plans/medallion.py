@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +13,16 @@ from lodestrata.functions import is_blank
 from lodestrata.operators import monitoring, quality
 from lodestrata.plans import bronze, gold, mapping, silver
 from lodestrata.plans.matching import Matcher
-from lodestrata.session import delete_path, path_exists, rename_path, stage
+from lodestrata.session import delete_path, folder_names, path_exists, rename_path, stage
 from lodestrata.sinks.store import Store, Table
-from lodestrata.sinks.tables import append_new, write_partitions
+from lodestrata.sinks.tables import append_new, drop_days, write_partitions
 from lodestrata.sources.tables import register
 
 
+# Names of the bronze runs in the run log.
+BRONZE_SOURCES = {"spotify": "spotify_api", "youtube": "youtube_api"}
+
+
 @dataclass(frozen=True)
 class Paths:
     """Where the tables of a deployment live."""
@@ -29,21 +33,30 @@ class Paths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def run_bronze(
-    messages: dict[str, DataFrame], paths: Paths, batch_id: str
-) -> None:
-    """Land messages per platform; undecodable ones go to the quarantine table."""
+def run_bronze(messages: dict[str, DataFrame], paths: Paths, batch_id: str) -> None:
+    """Land messages per platform; undecodable ones go to the quarantine table.
+
+    Each platform gets a run-log row of its own: messages, those landed, those put aside; a
+    platform that fails is logged as ``failed`` with its error, before the error goes on.
+    """
     for platform, rows in messages.items():
-        good, bad = bronze.split_undecodable(rows)
-        table = bronze.BRONZE_TABLES[platform]
-        landed = bronze.ENVELOPES[platform](good, batch_id)
-        append_new(landed, paths.table(table))
-        aside = bad.select("raw_id", "value", "ingested_at", "reason")
-        append_new(aside, paths.table(f"{table}_quarantine"))
+        spark, begun = rows.sparkSession, utc_now()
+        source = BRONZE_SOURCES[platform]
+        try:
+            good, bad = bronze.split_undecodable(rows)
+            table = bronze.BRONZE_TABLES[platform]
+            append_new(bronze.ENVELOPES[platform](good, batch_id), paths.table(table))
+            aside = bad.select("raw_id", "value", "ingested_at", "reason")
+            append_new(aside, paths.table(f"{table}_quarantine"))
+            counts = {source: (rows.count(), bad.count())}
+        except Exception as error:
+            _log(spark, paths, batch_id, "failed", {source: (0, 0)}, begun, str(error)[:1000])
+            raise
+        _log(spark, paths, batch_id, "success", counts, begun)
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write a table and go on from the file: later steps do not redo the work."""
+    """Write a work table and go on from the file: later steps do not redo the work."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -156,7 +169,7 @@ def _log(
     begun: datetime,
     error: str | None = None,
 ) -> None:
-    """Run-log rows of a batch, by one clock; rows of an earlier try are replaced."""
+    """Run-log rows of a batch, by one clock; rows of an earlier try of a source are replaced."""
     ended = utc_now()
     rows = None
     for platform, (n, bad) in counts.items():
@@ -164,7 +177,8 @@ def _log(
             spark, batch_id, platform, status, n, n - bad, bad, begun, ended, error
         )
         rows = row if rows is None else rows.unionAll(row)
-    write_partitions(rows, paths.table("silver_ingestion_log"))
+    rows = rows.withColumn("run", F.col("source"))
+    write_partitions(rows, paths.table("silver_ingestion_log"), "batch_id", "run")
 
 
 def _silver(
@@ -201,8 +215,11 @@ def _silver(
     )
     store = silver_store(spark, paths)
     touched = stage(_touched_tracks(store, entities), "touched") if only_batch else None
+    accepted, rejects = _split_rejects(entities.tables())
+    rejects = rejects.withColumn("batch_id", F.lit(batch_id))
+    write_partitions(rejects, paths.table("silver_rejects"))
     change = store.change()
-    for name, df in entities.tables().items():
+    for name, df in accepted.items():
         if only_batch:
             change.merge(name, df)
         else:
@@ -219,12 +236,44 @@ def _silver(
     linked = matcher.mapping(stamp)
     tables["silver_song_mapping"] = _replaced(spark, linked, paths.table("silver_song_mapping"))
 
-    checks = quality.silver_checks(tables, batch_id, stamp).withColumn("batch_id", F.lit(batch_id))
+    rejects = spark.read.schema(rejects.schema).parquet(paths.table("silver_rejects"))
+    rejects = rejects.filter(F.col("batch_id") == batch_id)
+    checks = quality.silver_checks(tables, batch_id, stamp).unionByName(
+        quality.check_rejects(rejects, schemas.TEXT_LIMITS, batch_id, stamp)
+    )
+    checks = checks.withColumn("batch_id", F.lit(batch_id))
     write_partitions(checks, paths.table("silver_data_quality_log"))
     # items are read to the end by now, so the counts are there
     return tables, {p: (o.get["n"], o.get["bad"]) for p, o in seen.items()}
 
 
+def _split_rejects(entities: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Rows that fit their declared columns by table, and the others as JSON with their table."""
+    accepted, rejects = dict(entities), None
+    for name, limits in schemas.TEXT_LIMITS.items():
+        accepted[name], bad = quality.split_rejects(entities[name], quality.violates(quality.too_long(limits)))
+        data = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+        rows = bad.select(F.lit(name).alias("table_name"), data.alias("data"))
+        rejects = rows if rejects is None else rejects.unionByName(rows)
+    return accepted, rejects
+
+
+def run_retention(spark: SparkSession, paths: Paths, as_of: datetime) -> dict[str, list[date]]:
+    """Drop the bronze days that are older than bronze is kept; the days by table.
+
+    Whole day folders go, rows are not read. Keys of dropped messages stay known, so an old
+    message that comes again is not landed again. Silver holds one row an entity and gold
+    is kept for good; queries over them ask for their own period.
+    """
+    first = as_of.date() - timedelta(days=schemas.RETENTION_DAYS["bronze"])
+    dropped = {}
+    for table in bronze.BRONZE_TABLES.values():
+        for name in (table, f"{table}_quarantine"):
+            if folder_names(spark, f"{paths.table(name)}/ingest_date=*"):
+                dropped[name] = drop_days(spark, paths.table(name), first)
+    return dropped
+
+
 def _touched_tracks(store: Store, batch: silver.Silver) -> DataFrame:
     """Ids of the tracks whose song a batch may change: its own, and those of renamed artists."""
     known = store.read("silver_spotify_artist", store.touched("silver_spotify_artist", batch.artist))
@@ -283,7 +332,7 @@ def run_gold(
         tables[name] = _replaced(spark, df, paths.table(name))
     snapshot = gold.song_daily_snapshot(tables["gold_dim_song"], F.to_date(stamp), stamp)
     name = "gold_fact_song_daily_snapshot"
-    write_partitions(snapshot, paths.table(name), by="date_id")
+    write_partitions(snapshot, paths.table(name), "date_id")
     tables[name] = gold.snapshot_change(read(name))
     register(tables)
     return tables
@@ -295,9 +344,18 @@ def run_all(
     root: str,
     batch_id: str,
     as_of: datetime,
+    only_batch: bool = False,
+    retain: bool = False,
 ) -> dict[str, DataFrame]:
-    """Bronze, silver and gold in one go; returns silver and gold tables."""
+    """Bronze, silver and gold in one go; returns silver and gold tables.
+
+    ``only_batch`` takes in this batch alone, see :func:`run_silver`. ``retain`` then drops bronze
+    days beyond their time; a later full rebuild of silver knows only what is left.
+    """
     paths = Paths(root)
     run_bronze(messages, paths, batch_id)
-    tables = run_silver(spark, paths, batch_id, as_of)
-    return {**tables, **run_gold(spark, paths, as_of)}
+    tables = run_silver(spark, paths, batch_id, as_of, only_batch=only_batch)
+    tables |= run_gold(spark, paths, as_of)
+    if retain:
+        run_retention(spark, paths, as_of)
+    return tables

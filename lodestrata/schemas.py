@@ -192,6 +192,15 @@ FOREIGN_KEYS: tuple[tuple[str, str, str, str], ...] = (
 # Days a layer is kept; None is forever.
 RETENTION_DAYS: dict[str, int | None] = {"bronze": 30, "silver": 90, "gold": None}
 
+# Declared lengths of text columns. A longer text cannot be stored as it is.
+TEXT_LIMITS: dict[str, dict[str, int]] = {
+    "silver_spotify_artist": {"artist_id": 64, "artist_name": 512, "artist_uri": 256},
+    "silver_spotify_album": {"album_id": 64, "album_name": 512, "album_type": 32, "image_url": 1024},
+    "silver_spotify_track": {"track_id": 64, "track_name": 512, "isrc_code": 32, "track_uri": 256},
+    "silver_youtube_channel": {"channel_id": 64, "channel_name": 512},
+    "silver_youtube_video": {"video_id": 32, "title": 1024, "duration_raw": 16, "thumbnail_url": 1024},
+}
+
 # Entities whose rows are refreshed in place, and the columns an update replaces.
 UPDATED_COLUMNS: dict[str, tuple[str, ...]] = {
     "silver_spotify_artist": ("artist_name",),

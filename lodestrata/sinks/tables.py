@@ -85,13 +85,14 @@ def drop_days(
     return sorted(old)
 
 
-def write_partitions(df: DataFrame, path: str, by: str = "batch_id") -> None:
+def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace just the partitions the rows belong to: backfill of one batch."""
+    by = by or ("batch_id",)
     (
-        by_folder(df, by)
+        by_folder(df, *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
+        .partitionBy(*by)
         .parquet(path)
     )
 

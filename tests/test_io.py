@@ -158,7 +158,8 @@ def test_failed_and_repeated_runs_are_logged_once(spark, tmp_path):
     for _ in range(2):
         medallion.run_silver(spark, paths, "b1", datetime(2020, 1, 1))
     log = spark.read.parquet(paths.table("silver_ingestion_log")).collect()
-    assert sorted((r.source, r.status, r.records_raw) for r in log) == [("spotify", "success", 1), ("youtube", "success", 1)]
+    names = ("spotify", "spotify_api", "youtube", "youtube_api")
+    assert sorted((r.source, r.status, r.records_raw) for r in log) == [(n, "success", 1) for n in names]
     assert all(r.duration_seconds < 300 for r in log)
 
 
