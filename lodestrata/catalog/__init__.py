@@ -6,6 +6,7 @@ from lodestrata.catalog import (  # noqa: F401  (importing registers the queries
     gold,
     link,
     operations,
+    runs,
     scalar,
     streams,
     web,

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from lodestrata import schemas
 from lodestrata.catalog.registry import query
 from lodestrata.catalog.roles import table
 from lodestrata.session import shared_folder
@@ -15,22 +16,23 @@ from lodestrata.streaming.epochs import run_available, write_epoch
 
 
 @query(
-    """SELECT s_nationkey AS nation, count(*) AS suppliers, round(sum(s_acctbal), 2) AS balance
+    """SELECT (s_suppkey // 20)::INT AS block, count(*) AS suppliers, round(sum(s_acctbal), 2) AS balance
     FROM supplier GROUP BY 1"""
 )
 def document_files(spark, sf_dir):
-    """One document a file, through the fallback that reads files for a missing topic."""
+    """One document a file and block of suppliers, through the fallback for a missing topic."""
     root = shared_folder(spark)
-    totals = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(
+    block = F.floor(F.col("s_suppkey") / 20).cast("int")
+    totals = table(spark, sf_dir, "supplier").groupBy(block.alias("block")).agg(
         F.count("*").alias("suppliers"), F.round(F.sum("s_acctbal"), 2).alias("balance")
     )
-    document = F.to_json(F.struct("nation", "suppliers", "balance"))
-    sink.by_folder(totals.select(document.alias("value"), F.col("nation").alias("part")), "part").write.partitionBy(
+    document = F.to_json(F.struct("block", "suppliers", "balance"))
+    sink.by_folder(totals.select(document.alias("value"), F.col("block").alias("part")), "part").write.partitionBy(
         "part"
     ).text(f"{root}/raw")
     read = topics.read_messages(spark, "youtube", path=f"{root}/raw")
     absent = topics.read_messages(spark, "youtube", path=f"{root}/absent")
-    fields = F.from_json("value", "nation INT, suppliers BIGINT, balance DOUBLE")
+    fields = F.from_json("value", "block INT, suppliers BIGINT, balance DOUBLE")
     return read.unionByName(absent).select(fields.alias("d")).select("d.*")
 
 
@@ -116,3 +118,34 @@ def dropped_days(spark, sf_dir):
     sink.append(rows, path, ["ingest_date"])
     sink.drop_days(spark, path, date(2024, 1, 15))
     return spark.read.parquet(path).select("event_id", "ts")
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value,
+      CASE WHEN event_type <> 'view' THEN event_type END AS event_type FROM events"""
+)
+def null_values(spark, sf_dir):
+    """Chosen columns of a delimited file; NaN and empty fields are null."""
+    path = f"{shared_folder(spark)}/values"
+    value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
+    kind = F.when(F.col("event_type") != "view", F.col("event_type"))
+    rows = table(spark, sf_dir, "events").select("event_id", "props", value.alias("value"), kind.alias("event_type"))
+    rows.write.option("header", True).csv(path)
+    read = spark.read.option("header", True).schema("event_id BIGINT, props STRING, value DOUBLE, event_type STRING").csv(path)
+    return files.column_subset(read, ["event_id", "value", "event_type"])
+
+
+@query(
+    """SELECT c_custkey::VARCHAR AS artist_id, c_name AS artist_name, NULL::VARCHAR AS spotify_url FROM customer"""
+)
+def created_tables(spark, sf_dir):
+    """Tables created where they are missing, twice, and filled."""
+    root = shared_folder(spark)
+    name = f"made_{root[-12:]}"
+    for _ in range(2):
+        sink.create_tables(spark, name, ("silver",), f"{root}/database")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("artist_id"), F.col("c_name").alias("artist_name")
+    )
+    schemas.conform(rows, "silver_spotify_artist").write.insertInto(f"{name}.silver_spotify_artist")
+    return spark.table(f"{name}.silver_spotify_artist").select("artist_id", "artist_name", "spotify_url")

@@ -25,7 +25,7 @@ from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
 from lodestrata.session import shared_folder
 from lodestrata.sinks.messages import bulk_rows, message_rows
-from lodestrata.sinks.tables import staging_rows, write_partitions
+from lodestrata.sinks.tables import write_partitions, write_staging
 from lodestrata.sources.tables import find_one, register, run_query
 
 # Merges ------------------------------------------------------------------------
@@ -117,13 +117,25 @@ def patch_merge(spark, sf_dir):
 
 
 @query(
-    """SELECT n_nationkey, n_name, n_regionkey, TIMESTAMP '2024-01-31 00:00:00' AS created_at FROM nation"""
+    """SELECT 'customers' AS staged, c_custkey AS id, c_name AS name, c_acctbal AS amount,
+      TIMESTAMP '2024-01-31 00:00:00' AS created_at FROM customer
+    UNION ALL SELECT 'orders', o_orderkey, o_orderstatus, o_totalprice, TIMESTAMP '2024-01-31 00:00:00' FROM orders"""
 )
 def json_staging(spark, sf_dir):
-    """Rows as one JSON value, read back by field."""
-    staged = staging_rows(table(spark, sf_dir, "nation"), as_of())
-    fields = "n_nationkey INT, n_name STRING, n_regionkey INT"
-    return staged.select(F.from_json("data", fields).alias("d"), "created_at").select("d.*", "created_at")
+    """Staging tables with rows as one JSON value, the empty one left out, read back by field."""
+    root = shared_folder(spark)
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("amount")
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name"), F.col("o_totalprice").alias("amount")
+    )
+    tables = {"customers": customers, "orders": orders, "nobody": customers.filter("id < 0")}
+    staged = write_staging(tables, root, as_of())
+    read = [spark.read.parquet(f"{root}/{name}").withColumn("staged", F.lit(name[: -len("_staging")])) for name in staged]
+    fields = F.from_json("data", "id BIGINT, name STRING, amount DOUBLE")
+    rows = read[0].unionByName(read[1]) if len(read) > 1 else read[0]
+    return rows.select("staged", fields.alias("d"), "created_at").select("staged", "d.*", "created_at")
 
 
 @query(

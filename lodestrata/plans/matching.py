@@ -9,8 +9,8 @@ brings new songs and new videos, and only these are compared:
 * known songs with new titles, through the same for songs: every song is filed under its gram,
   and the titles' grams open the buckets they fall into.
 
-What is stored: tracks with their song, songs with their number of tracks, videos, both
-indexes, how often titles use a gram, and the matched pairs. All of it changes by one commit (see
+What is stored: tracks with their song, songs with their tracks, videos, both indexes,
+how often titles use a gram, and the matched pairs by song and by video. All of it changes by one commit (see
 `sinks.store`), so a batch that is lost half-way can simply be run again.
 
 A track that moves to another song (new name, new artist) takes its direct row along; a
@@ -41,7 +41,9 @@ TABLES = {
     "title_grams": Table("gram STRING, video_id STRING", by=("gram",)),
     "gram_counts": Table("gram STRING, n BIGINT", by=("gram",)),
     "song_grams": Table(f"gram STRING, {_SONG}", by=("gram",)),
+    "song_tracks": Table("song_id STRING, track_id STRING", ("song_id", "track_id"), by=("song_id",)),
     "pairs": Table("song_id STRING, video_id STRING", ("song_id", "video_id"), by=("song_id",)),
+    "video_songs": Table("song_id STRING, video_id STRING", by=("video_id",)),
 }
 #: Folders of a bucket of an index above which `update` joins them.
 MOST_FOLDERS = 16
@@ -55,36 +57,45 @@ class Matcher:
         #: Folders of the indexes that the last update has opened.
         self.opened: dict[str, list[str]] = {}
 
-    def update(self, tracks: DataFrame, videos: DataFrame, afresh: bool = False) -> None:
+    def update(self, tracks: DataFrame, videos: DataFrame, afresh: bool = False) -> DataFrame:
         """Take in tracks and videos, one row each: new ones and such as may have changed.
 
         ``tracks`` as from `mapping.song_tracks`, ``videos`` from `mapping.matchable_videos`.
-        ``afresh`` forgets what is stored, in the same commit.
+        ``afresh`` forgets what is stored, in the same commit. Returns the songs (song_id) whose
+        rows of the mapping may differ from before.
         """
         change = self.store.change()
         if afresh:
             change.clear()
         tracks = stage(tracks.select(*self.store.tables["tracks"].struct().names), "tracks")
         videos = stage(videos.select(*self.store.tables["videos"].struct().names), "videos")
-        fresh = stage(self._take_tracks(change, tracks), "fresh_songs")
+        fresh, left = self._take_tracks(change, tracks)
         titles = stage(self._take_videos(change, videos), "fresh_titles")
         known = self._known_songs(change, titles)
         found = self._all_titles(change, fresh).unionByName(known).distinct()
         found = stage(found, "found")
         old = change.read("pairs", self.store.touched("pairs", found))
-        change.append("pairs", found.join(old, ["song_id", "video_id"], "left_anti"))
-        for name in ("title_grams", "gram_counts", "song_grams", "pairs"):
+        more = stage(found.join(old, ["song_id", "video_id"], "left_anti"), "more_pairs")
+        change.append("pairs", more)
+        change.append("video_songs", more)
+        theirs = change.read("video_songs", self.store.touched("video_songs", videos))
+        theirs = theirs.join(videos, "video_id", "left_semi").select("song_id")
+        touched = tracks.select("song_id").unionByName(left).unionByName(theirs).distinct()
+        touched = stage(touched, "touched_songs")
+        for name in ("title_grams", "gram_counts", "song_grams", "pairs", "video_songs"):
             if any(len(f) > MOST_FOLDERS for f in change.folders(name).values()):
                 change.compact(name)
         change.commit()
+        return touched
 
-    def _take_tracks(self, change: Change, tracks: DataFrame) -> DataFrame:
-        """Store the tracks and count them for their songs; the songs not seen before."""
+    def _take_tracks(self, change: Change, tracks: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Store the tracks and file them under their songs; new songs, and songs that lost tracks."""
         store = self.store
         buckets = store.touched("tracks", tracks)
         before = change.read("tracks", buckets).select("track_id", F.struct(*SONG).alias("old"))
         moved = tracks.select("track_id", F.struct(*SONG).alias("new")).join(before, "track_id", "left")
         moved = moved.filter(F.col("old").isNull() | (F.col("old.song_id") != F.col("new.song_id")))
+        moved = stage(moved, "moved_tracks")
         steps = F.array(
             F.struct(F.col("new").alias("song"), F.lit(1).alias("step")),
             F.struct(F.col("old").alias("song"), F.lit(-1).alias("step")),
@@ -102,8 +113,15 @@ class Matcher:
             return both.groupBy("song_id").agg(*first, F.sum("tracks").alias("tracks"))
 
         change.rewrite("songs", counts, summed)
+        left = moved.filter("old IS NOT NULL").select("old.song_id", "track_id")
+        joined = moved.select("new.song_id", "track_id")
+        change.rewrite(
+            "song_tracks",
+            joined.unionByName(left),
+            lambda old, _: old.join(left, ["song_id", "track_id"], "left_anti").unionByName(joined),
+        )
         change.merge("tracks", tracks)
-        return fresh
+        return fresh, left.select("song_id")
 
     def _take_videos(self, change: Change, videos: DataFrame) -> DataFrame:
         """Store the videos and file the grams of new titles; (video_id, title_normalized)."""
@@ -160,6 +178,21 @@ class Matcher:
         return mapping.assemble(self.tracks(), pairs, as_of, **options)
 
 
+    def mapping_of(self, touched: DataFrame, as_of: Column, **options) -> DataFrame:
+        """Rows of the mapping of some songs (song_id); reads the buckets they need."""
+        store = self.store
+
+        def near(name: str, rows: DataFrame, key: str) -> DataFrame:
+            return store.read(name, store.touched(name, rows)).join(rows.select(key), key, "left_semi")
+
+        ids = stage(near("song_tracks", touched, "song_id"), "their_tracks")
+        pairs = stage(near("pairs", touched, "song_id"), "their_pairs")
+        songs = near("songs", touched, "song_id").filter("tracks > 0").drop("tracks")
+        met = pairs.join(songs, "song_id").join(near("videos", pairs, "video_id"), "video_id")
+        met = met.filter(holds(F.col("title_normalized"), PARTS))
+        return mapping.assemble(near("tracks", ids, "track_id"), met, as_of, **options)
+
+
 def _all_grams(text: str) -> Column:
     """Grams of all lengths a song can be filed under."""
     return text_grams_of(F.col(text), range(GRAM + 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata import schemas
@@ -119,10 +119,26 @@ def silver_store(spark: SparkSession, paths: Paths) -> Store:
     return Store(spark, paths.table("silver"), tables, BUCKETS)
 
 
+#: Tables by song, of which a batch replaces the songs it touches.
+BY_SONG = ("silver_song_mapping", "gold_dim_song")
+
+
+def song_store(spark: SparkSession, paths: Paths) -> Store:
+    """Mapping and song dimension; `pending` has songs whose dimension rows are behind the mapping."""
+    tables = {
+        "silver_song_mapping": Table(schemas.TABLES["silver_song_mapping"], ("mapping_id",), ("song_id",)),
+        "gold_dim_song": Table(schemas.TABLES["gold_dim_song"], ("song_id",)),
+        "pending": Table("song_id STRING", ("song_id",)),
+    }
+    return Store(spark, paths.table("songs"), tables, BUCKETS)
+
+
 def read_table(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
     """A table of the deployment, wherever it lies; ends a replacement that was cut off."""
     if name in ENTITIES:
         return silver_store(spark, paths).read(name)
+    if name in BY_SONG:
+        return song_store(spark, paths).read(name)
     recover(spark, paths.table(name))
     return spark.read.parquet(paths.table(name))
 
@@ -229,12 +245,23 @@ def _silver(
     matcher = Matcher(spark, paths.table("silver_matching"), BUCKETS)
     named = _named_tracks(store, touched)
     new_videos = _kept(entities.video, tables["silver_youtube_video"]) if only_batch else tables["silver_youtube_video"]
-    matcher.update(
+    songs = matcher.update(
         mapping.song_tracks(named), mapping.matchable_videos(new_videos), afresh=not only_batch
     )
     stamp = F.lit(as_of).cast("timestamp_ntz")
-    linked = matcher.mapping(stamp)
-    tables["silver_song_mapping"] = _replaced(spark, linked, paths.table("silver_song_mapping"))
+    by_song = song_store(spark, paths)
+    change = by_song.change()
+    if only_batch:
+        linked = stage(matcher.mapping_of(songs, stamp), "mapping")
+        change.rewrite("silver_song_mapping", songs, _songs_replaced(songs, linked))
+        change.append("pending", songs)
+    else:
+        # songs that are no more are behind as well
+        before = by_song.read("gold_dim_song").select("song_id")
+        change.replace("silver_song_mapping", matcher.mapping(stamp))
+        change.replace("pending", songs.unionByName(before).distinct())
+    change.commit()
+    tables["silver_song_mapping"] = by_song.read("silver_song_mapping")
 
     rejects = spark.read.schema(rejects.schema).parquet(paths.table("silver_rejects"))
     rejects = rejects.filter(F.col("batch_id") == batch_id)
@@ -274,12 +301,21 @@ def run_retention(spark: SparkSession, paths: Paths, as_of: datetime) -> dict[st
     return dropped
 
 
+def _songs_replaced(songs: DataFrame, rows: DataFrame):
+    """For `Change.rewrite`: the rows take the place of all old rows of the songs."""
+    return lambda old, _: old.join(songs, "song_id", "left_anti").unionByName(rows)
+
+
 def _touched_tracks(store: Store, batch: silver.Silver) -> DataFrame:
-    """Ids of the tracks whose song a batch may change: its own, and those of renamed artists."""
+    """Ids of the tracks whose song a batch may change: its own, and those of renamed artists and albums."""
     known = store.read("silver_spotify_artist", store.touched("silver_spotify_artist", batch.artist))
     known = known.select("artist_id", F.col("artist_name").alias("old_name"))
     renamed = batch.artist.join(known, "artist_id").filter("old_name <> artist_name")
     theirs = store.read("silver_spotify_track_artist").join(renamed, "artist_id", "left_semi")
+    albums = store.read("silver_spotify_album", store.touched("silver_spotify_album", batch.album))
+    albums = batch.album.join(albums.select("album_id", F.col("album_name").alias("old_name")), "album_id")
+    on_them = store.read("silver_spotify_track").join(albums.filter("old_name <> album_name"), "album_id", "left_semi")
+    theirs = theirs.select("track_id").unionByName(on_them.select("track_id"))
     own = batch.track.select("track_id").unionByName(batch.track_artist.select("track_id"))
     return own.unionByName(theirs.select("track_id")).distinct()
 
@@ -305,7 +341,11 @@ def _kept(batch: DataFrame, stored: DataFrame) -> DataFrame:
 def run_gold(
     spark: SparkSession, paths: Paths, as_of: datetime, faithful: bool = False
 ) -> dict[str, DataFrame]:
-    """Rebuild gold from silver; the day's snapshot replaces only its own day."""
+    """Bring gold up to silver; the day's snapshot replaces only its own day.
+
+    Of the song dimension only the songs are made anew that the mapping has touched since, or all
+    for ``faithful``. The other dimensions are rebuilt from silver and the stored mapping.
+    """
 
     def read(name: str) -> DataFrame:
         return read_table(spark, paths, name)
@@ -314,8 +354,7 @@ def run_gold(
     link = read("silver_song_mapping")
     track, album = read("silver_spotify_track"), read("silver_spotify_album")
     artist, channel = read("silver_spotify_artist"), read("silver_youtube_channel")
-    songs = gold.dim_song(link, track, album, read("silver_youtube_video"), stamp, faithful)
-    tables = {"gold_dim_song": _replaced(spark, songs, paths.table("gold_dim_song"))}
+    tables = {"gold_dim_song": song_dimension(spark, paths, stamp, faithful)}
     plans = {
         "gold_dim_artist": gold.dim_artist(
             artist, read("silver_spotify_track_artist"), channel, link, faithful
@@ -338,6 +377,34 @@ def run_gold(
     return tables
 
 
+def song_dimension(spark: SparkSession, paths: Paths, stamp: Column, faithful: bool) -> DataFrame:
+    """The song dimension after the songs that are behind were made anew."""
+    by_song, silver_tables = song_store(spark, paths), silver_store(spark, paths)
+    change = by_song.change()
+    if faithful:
+        link = by_song.read("silver_song_mapping")
+        parts = [silver_tables.read(f"silver_{n}") for n in ("spotify_track", "spotify_album", "youtube_video")]
+        change.replace("gold_dim_song", gold.dim_song(link, *parts, stamp, faithful))
+        # a later default run has all of them to make anew
+        change.replace("pending", link.select("song_id").distinct())
+    else:
+        pending = stage(by_song.read("pending").distinct(), "pending")
+        link = by_song.read("silver_song_mapping", by_song.touched("silver_song_mapping", pending))
+        link = stage(link.join(pending, "song_id", "left_semi"), "their_mapping")
+
+        def near(name: str, ids: DataFrame) -> DataFrame:
+            return silver_tables.read(name, silver_tables.touched(name, ids))
+
+        track = near("silver_spotify_track", link.select(F.col("spotify_track_id").alias("track_id")))
+        album = near("silver_spotify_album", track)
+        video = near("silver_youtube_video", link.select(F.col("youtube_video_id").alias("video_id")))
+        rows = gold.dim_song(link, track, album, video, stamp)
+        change.rewrite("gold_dim_song", pending, _songs_replaced(pending, rows))
+        change.replace("pending", pending.limit(0))
+    change.commit()
+    return by_song.read("gold_dim_song")
+
+
 def run_all(
     spark: SparkSession,
     messages: dict[str, DataFrame],

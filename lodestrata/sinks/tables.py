@@ -14,10 +14,14 @@ from lodestrata.sinks.keyindex import KeyIndex
 
 
 def create_tables(
-    spark: SparkSession, database: str, layers: tuple[str, ...] = ("bronze", "silver", "gold")
+    spark: SparkSession,
+    database: str,
+    layers: tuple[str, ...] = ("bronze", "silver", "gold"),
+    location: str | None = None,
 ) -> list[str]:
-    """Create the database and the layers' tables where they are missing."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    """Create the database, at ``location`` if given, and the layers' tables where they are missing."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     names = [n for n in schemas.TABLES if n.split("_")[0] in layers]
     for name in names:
         spark.sql(

@@ -59,6 +59,7 @@ def test_batches_equal_a_full_run(spark, tmp_path, monkeypatch):
     for n, (tracks, videos) in enumerate(BATCHES):
         day = datetime(2024, 2, 1 + n)
         built = medallion.run_all(spark, messages(spark, tracks, videos, day), root, f"b{n}", AT, only_batch=True)
+        assert medallion.song_store(spark, medallion.Paths(root)).read("pending").isEmpty()
     songs = {r.song_title: r.youtube_video_count for r in built["gold_dim_song"].collect()}
     assert songs == {"love song ii": 0, "other": 1, "third": 1}
     by_batch = plain(built)
