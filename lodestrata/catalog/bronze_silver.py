@@ -12,6 +12,7 @@ from lodestrata.functions import utc_instant
 from lodestrata.operators.documents import explode_items, has_item_list, has_items
 from lodestrata.operators.latest import newest_rows, pick_version
 from lodestrata.plans import bronze, mapping, silver
+from lodestrata.session import stage
 
 
 @query(
@@ -219,7 +220,7 @@ def version_choice(spark, sf_dir):
     FROM track JOIN track_artist USING (track_id) JOIN artist USING (artist_id) WHERE is_primary"""
 )
 def primary_artist_inner(spark, sf_dir):
-    items = roles.audio_items(spark, sf_dir)
+    items = stage(roles.audio_items(spark, sf_dir), "items")
     return mapping.primary_artist_inner(
         silver.tracks(items), silver.track_artists(items), silver.artists(items)
     )
@@ -231,7 +232,7 @@ def primary_artist_inner(spark, sf_dir):
       WHERE is_primary GROUP BY 1) USING (track_id) LEFT JOIN artist USING (artist_id)"""
 )
 def primary_artist_left(spark, sf_dir):
-    items = roles.audio_items(spark, sf_dir)
+    items = stage(roles.audio_items(spark, sf_dir), "items")
     return mapping.primary_artist_left(
         silver.tracks(items), silver.track_artists(items), silver.artists(items)
     )
@@ -243,7 +244,5 @@ def primary_artist_left(spark, sf_dir):
 )
 def video_with_channel(spark, sf_dir):
     """Videos of known channels; those without a channel are left out."""
-    items = roles.video_items(spark, sf_dir)
-    videos = silver.videos(items).select("video_id", "title", "channel_id", "view_count")
-    channels = silver.channels(items).select("channel_id", "channel_name")
-    return videos.join(channels, "channel_id").distinct()
+    items = stage(roles.video_items(spark, sf_dir), "items")
+    return mapping.videos_with_channel(silver.videos(items), silver.channels(items))

@@ -337,14 +337,12 @@ def isrc_list(spark, sf_dir):
 )
 def bool_or_flags(spark, sf_dir):
     status = F.col("o_orderstatus")
-    rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.bool_or(status == "F").alias("has_f"),
-        F.bool_or(status == "O").alias("has_o"),
-        F.countDistinct(
-            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderkey"))
-        ).alias("pressing"),
+    pressing = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderkey"))
+    rows = gold.presence(
+        table(spark, sf_dir, "orders"), "o_custkey", {"has_f": status == "F", "has_o": status == "O"}
     )
-    return rows.withColumn("kinds", F.col("has_f").cast("int") + F.col("has_o").cast("int"))
+    counted = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.countDistinct(pressing).alias("pressing"))
+    return rows.join(counted, "o_custkey")
 
 
 @query(f"""WITH {LINKED} SELECT DISTINCT song_id, isrc_code AS isrc FROM songs WHERE isrc_code <> ''""")

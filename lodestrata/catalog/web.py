@@ -11,7 +11,7 @@ from lodestrata.functions import parse_view_count
 from lodestrata.functions.html import elements, elements_containing
 from lodestrata.operators import pages
 from lodestrata.plans import bronze, silver
-from lodestrata.session import spread
+from lodestrata.session import spread, stage
 
 
 @query(
@@ -169,7 +169,7 @@ def page_channel_id(spark, sf_dir):
 @query("""SELECT 'V' || event_id AS video_id, 'C' || user_id AS channel_id FROM events""")
 def channel_fallback(spark, sf_dir):
     """Items without a channel id get the channel of that name."""
-    found = _search_pages(spark, sf_dir)
+    found = stage(_search_pages(spark, sf_dir), "pages")
     items = pages.search_items(found)
     return pages.fill_channel(items, pages.search_channels(found)).select("video_id", "channel_id")
 
@@ -181,7 +181,7 @@ def channel_fallback(spark, sf_dir):
 )
 def page_to_silver(spark, sf_dir):
     """Search pages all the way to silver videos."""
-    found = _search_pages(spark, sf_dir)
+    found = stage(_search_pages(spark, sf_dir).drop("html"), "pages")
     documents = pages.item_documents(pages.search_items(found))
     messages = documents.join(found.select("page_id", "ts"), "page_id").select(
         roles.text("P", F.col("page_id")).alias("raw_id"), "value", F.col("ts").alias("ingested_at")

@@ -9,6 +9,9 @@ itself is never formed.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -33,6 +36,15 @@ def _zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
+def presence(rows: DataFrame, owner: str, flags: dict[str, Column]) -> DataFrame:
+    """Per owner whether any row has each flag, and `kinds`, how many flags it has."""
+    found = rows.groupBy(owner).agg(
+        *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(name) for name, flag in flags.items()]
+    )
+    kinds = reduce(add, [F.col(name).cast("int") for name in flags])
+    return found.withColumn("kinds", kinds)
+
+
 def song_videos(mapping: DataFrame) -> DataFrame:
     """Distinct (song, video) pairs with the video's channel and views.
 

@@ -73,6 +73,13 @@ def matchable_videos(video: DataFrame, channel: DataFrame | None = None) -> Data
     return rows.select(*columns, normalize("title").alias("title_normalized"))
 
 
+def videos_with_channel(video: DataFrame, channel: DataFrame) -> DataFrame:
+    """Videos with the name of their channel; those of no known channel are left out."""
+    names = channel.select("channel_id", "channel_name")
+    rows = video.select("video_id", "title", "channel_id", "view_count").join(names, "channel_id")
+    return rows.distinct()
+
+
 def match_videos(
     songs: DataFrame, videos: DataFrame, allow_empty: bool = False, strategy: str = "auto"
 ) -> DataFrame:
