@@ -174,16 +174,17 @@ def top_k(
         ids = chunk.column(0).to_numpy()
         block = _matrix(chunk.column(1).combine_chunks())
         sent = spark.sparkContext.broadcast((ids, block))
-        own = _answered(rows, sent, k)
+        own = _answered(rows, sent, k, number)
         found = own if found is None else found.unionAll(own)
     if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = spark.createDataFrame([], "query long, query_id long, vec_id long, score long")
+    # a query is a row of its own, also where others have its id
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _answered(rows: DataFrame, sent, k: int) -> DataFrame:
+def _answered(rows: DataFrame, sent, k: int, chunk: int) -> DataFrame:
     """The k best of each query in every partition of `rows`."""
 
     def run(batches):
@@ -200,14 +201,15 @@ def _answered(rows: DataFrame, sent, k: int) -> DataFrame:
             read(best, held)
         qi, vec, score = best.rows
         yield pa.RecordBatch.from_arrays(
-            [pa.array(q_ids[qi]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"]
+            [pa.array((chunk << 32) + qi), pa.array(q_ids[qi]), pa.array(vec), pa.array(score)],
+            ["query", "query_id", "vec_id", "score"],
         )
 
     def read(best, held):
         table = pa.Table.from_batches(held).combine_chunks()
         best.read(table.column(0).to_numpy(), _matrix(table.column(1).combine_chunks()))
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score long")
+    return rows.mapInArrow(run, "query long, query_id long, vec_id long, score long")
 
 
 #: The same rows in DuckDB: all scores, ranked.
