@@ -11,16 +11,16 @@ shingle). Documents with equal sets form a class; classes are searched for simil
    shingle of each of BINS bins, one byte each. The cut is 4.5 standard deviations below t.
 3. In a larger node every class is first compared with one hub, the class with most
    copies. Confirmed links are joined to components; what is in one component needs
-   no more comparison. If few classes are outside the largest component of the node,
-   they are compared with all its classes, chunk by chunk. Otherwise the
-   node branches again, by hashes of its path. Nodes at DEPTH are not branched but compared
-   chunk by chunk, whatever their size.
-4. Every link is confirmed on the full sets. Candidates are confirmed for the nearest
-   and for the most copied partner of each class first; of the others only those that
-   join two components are left to confirm.
+   no more comparison. Nodes of up to MIDDLE classes outside their largest component are
+   compared chunk by chunk: one-bit sketches first, all pairs of two chunks by one matrix
+   product, then the sketches; the sets of what is near follow. Larger nodes branch again, by
+   hashes of their path; at DEPTH all are compared.
+4. Every link is confirmed on the full sets: in chunks at once; of the candidates of 2 and the
+   hubs those for the nearest and for the most copied partner of each class first, and of
+   the others only those that join two components.
 
 Within a node, candidates that are almost surely alike are reported as a chain, not as all
-pairs. Links and equal sets are joined to components, see `components`.
+pairs. Links and equal sets are joined to components.
 
 Texts without words, and null, have an empty set and no links; repeated documents are
 copies. Component ids are the least doc_id; a component of null ids only has none, and
@@ -36,20 +36,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.components import components
 from lodestrata.llm.textscan import SPACED, bounded_batches, mix, scan_column, window_keys
 from lodestrata.session import stage
 
 SIZE = 4
 PERCENT = 80
 TREES = 8
-DEPTH = 5
+DEPTH = 6
 #: Bytes of a sketch; the bin of a shingle is the first byte of its key.
 BINS = 256
-#: Classes of a node, or outside its largest component, that are compared with all.
+#: Classes of a node that are compared exhaustively.
 SMALL = 64
-#: Classes of one chunk of a larger node.
-CHUNK = 512
+#: Classes outside a node's largest component beyond which it branches again.
+MIDDLE = 1 << 13
+#: Classes of one chunk of a larger node, compared by sketches.
+CHUNK = 1 << 12
+#: Shingles of one chunk of what is left, besides single sets that are larger.
+CHUNK_TOKENS = 1 << 19
+#: Slots of the filter that picks texts to read again: its size is fixed.
+FILTER_SLOTS = 1 << 20
+#: Bytes of text whose sets are made at once.
+SLICE = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ALL = float(2**64)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +75,7 @@ def _sure(percent: int) -> float:
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, texts, sorted distinct keys, bounds) of slices of a column."""
-    for lo, _hi, words in scan_column(column, SPACED):
+    for lo, _hi, words in scan_column(column, SPACED, SLICE):
         key, at = window_keys(words.key, words.first, size)
         text = np.searchsorted(words.first, at, side="right") - 1
         order = np.lexsort((key, text))
@@ -258,24 +265,96 @@ def _with_hub(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select(*columns).mapInArrow(run, _PAIR)
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidates between the two arrays `few` and `many` of (node, copies, comp, sketch)."""
-    cut = _cut(percent)
+def _chunk_pairs(rows: DataFrame, chunks: Column, *columns: str) -> DataFrame:
+    """(path, few, many): all pairs of chunks of a node; `many` is null for a chunk with itself.
+
+    A node is dealt out by chunk, of which it has `chunks`; most have one.
+    """
+    dealt = rows.withColumn("_chunks", chunks.cast("long"))
+    dealt = dealt.withColumn("_chunk", F.pmod(F.xxhash64("node"), F.col("_chunks"))).repartition("path", "_chunk")
+    member = F.collect_list(F.struct(*columns)).alias("few")
+    groups = dealt.groupBy("path", "_chunk", "_chunks").agg(member)
+    own = groups.select("path", "few", F.lit(None).cast(groups.schema["few"].dataType).alias("many"))
+    several = stage(groups.where("_chunks > 1").select("path", "_chunk", "few"), "chunks")
+    other = several.select("path", F.col("_chunk").alias("_part"), F.col("few").alias("many"))
+    across = several.join(other, "path").where("_part < _chunk").select("path", "few", "many")
+    return own.unionAll(across)
+
+
+def _nearby(rows: DataFrame, percent: int) -> DataFrame:
+    """(path, node) of the members (node, comp, sketch) that are near one of another component."""
+
+    def run(batches):
+        for batch in batches:
+            for path, few, many in zip(*batch.columns, strict=True):
+                own = few.values
+                other = own if many.values is None else many.values
+                sketch, theirs = _bytes(own.field(2)), _bytes(other.field(2))
+                comp, their_comp = own.field(1).to_numpy(), other.field(1).to_numpy()
+                is_near, they_are = np.zeros(len(sketch), dtype=bool), np.zeros(len(theirs), dtype=bool)
+                for i, j in _near(sketch, theirs, comp, their_comp, percent):
+                    is_near[i], they_are[j] = True, True
+                near = np.union1d(own.field(0).to_numpy()[is_near], other.field(0).to_numpy()[they_are])
+                paths = pa.array(np.full(len(near), path.as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([paths, pa.array(near.astype(np.int64))], ["path", "node"])
+
+    return rows.select("path", "few", "many").mapInArrow(run, "path long, node long").distinct()
+
+
+def _opened(rows: DataFrame, percent: int) -> DataFrame:
+    """Links between members (node, comp, tokens) of different components, as few as join them."""
+
+    def sets(members):
+        blobs = [np.frombuffer(x.as_py(), np.uint64) for x in members.field(2)]
+        first = np.concatenate([[0], np.cumsum([len(x) for x in blobs])]).astype(np.int64)
+        return members.field(0).to_numpy(), members.field(1).to_numpy(), blobs, _sketches(np.concatenate(blobs), first)
 
     def run(batches):
         for batch in batches:
             for few, many in zip(*batch.columns, strict=True):
-                few, many = few.values, many.values
-                one, other = _bytes(few.field(3)), _bytes(many.field(3))
-                node, copies, comp = (many.field(i).to_numpy() for i in range(3))
-                for i in range(len(few)):
-                    own_node, own_copies, own_comp = (few.field(k)[i].as_py() for k in range(3))
-                    est = _estimates(one[i], other)
-                    at = np.flatnonzero((est >= cut) & (comp != own_comp))
-                    full = np.full(len(at), own_node), node[at], np.full(len(at), own_copies), copies[at]
-                    yield _pairs(*full, est[at])
+                node, comp, own, sketch = sets(few.values)
+                if many.values is None:
+                    others, their_comp, their, their_sketch = node, comp, own, sketch
+                else:
+                    others, their_comp, their, their_sketch = sets(many.values)
+                number = {c: i for i, c in enumerate(dict.fromkeys([*comp.tolist(), *their_comp.tolist()]))}
+                root, out = list(range(len(number))), []
+                near = _near(sketch, their_sketch, comp, their_comp, percent)
+                for i, j in ((i, j) for a, b in near for i, j in zip(a.tolist(), b.tolist(), strict=True)):
+                    x, y = _find(root, number[int(comp[i])]), _find(root, number[int(their_comp[j])])
+                    if x != y and _similar(own[i], their[j], percent):
+                        root[x] = y
+                        out.append((int(node[i]), int(others[j])))
+                a, b = (pa.array([p[k] for p in out], pa.int64()) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([a, b, pa.array([True] * len(out), pa.bool_())], ["a", "b", "linked"])
+
+    return rows.select("few", "many").mapInArrow(run, "a long, b long, linked boolean")
+
+
+def _near(a: np.ndarray, b: np.ndarray, comp_a: np.ndarray, comp_b: np.ndarray, percent: int):
+    """Pairs of sketches of different components that may be similar enough.
+
+    With one bit a bin, what two sets do not share agrees half the time: the product of
+    signs estimates the similarity by itself, with a larger error.
+    """
+    t = percent / 100
+    low, cut = t - 4.5 * ((1 - t * t) / BINS) ** 0.5, _cut(percent)
+    signs = [np.where(x > 0, (x & 1).astype(np.float32) * 2 - 1, 0).astype(np.float32) for x in (a, b)]
+    filled_a, filled_b = (a > 0).sum(1), (b > 0).sum(1)
+    for lo in range(0, len(a), 256):
+        rows = slice(lo, lo + 256)
+        near = signs[0][rows] @ signs[1].T >= low * np.maximum(filled_a[rows, None], filled_b)
+        near &= comp_a[rows, None] != comp_b
+        i, j = np.nonzero(near)
+        for at in range(0, len(i), 4096):
+            own, other = lo + i[at : at + 4096], j[at : at + 4096]
+            some = _estimates(a[own], b[other]) >= cut
+            yield own[some], other[some]
+
 
-    return rows.select("few", "many").mapInArrow(run, _PAIR)
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _written(df: DataFrame, name: str, rows: int) -> DataFrame:
@@ -320,8 +399,13 @@ def _picks(pairs: DataFrame, percent: int) -> DataFrame:
     return out.distinct()
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, tokens): the sets of the wanted classes, from one text of each."""
+def _sets_of(
+    docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int, repeated: bool
+) -> DataFrame:
+    """(node, tokens): the sets of the wanted classes, from one text of each.
+
+    `repeated` tells that equal texts may have equal ids.
+    """
 
     def run(batches):
         for batch in batches:
@@ -335,9 +419,23 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int)
 
     one = classes.join(wanted, "node", "left_semi")
     one = one.select("node", F.col("least.doc_id").alias("_id"), F.col("least.text_key").alias("_key"))
+    one = stage(one, "representatives")
     texts = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text_key"), "text")
-    met = texts.join(one, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    return met.select("node", "text").mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"])
+    texts = _thinned(texts, "_text_key", one, "_key")
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    met = texts.join(one.hint("shuffle_merge"), same)  # grows with the documents: not broadcast at any size
+    found = met.select("node", "text").mapInArrow(run, "node long, tokens binary")
+    return found.dropDuplicates(["node"]) if repeated else found
+
+
+def _thinned(rows: DataFrame, key: str, wanted: DataFrame, by: str) -> DataFrame:
+    """Rows without most of those whose key is not wanted, before they are shuffled.
+
+    The filter holds the hash slots of the wanted keys, FILTER_SLOTS numbers at most.
+    """
+    slots = wanted.select(F.pmod(F.xxhash64(by), F.lit(FILTER_SLOTS)).alias("_slot")).distinct()
+    slotted = rows.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS)))
+    return slotted.join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -345,18 +443,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = [
+                _similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
+                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
             )
 
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    ends = stage(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct(), "ends")
+    sets = stage(_thinned(sets, "node", ends, "node"), "their_sets")
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
     other = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
-    met = pairs.select("a", "b").join(one, "a").join(other, "b")
+    met = pairs.join(one, "a").join(other, "b")
     met = met.select("a", "b", "tokens_a", "tokens_b")
     return _written(met.mapInArrow(run, "a long, b long, linked boolean"), "confirmed", 64)
 
@@ -376,15 +476,17 @@ def _children(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [pa.array(child.view(np.int64)), pa.array(node[at])], ["path", "node"]
             )
 
-    rows = members.select("path", "node").join(sets, "node").select("path", "node", "tokens")
+    members = stage(members.select("path", "node"), "branched")
+    rows = members.join(_thinned(sets, "node", members, "node"), "node").select("path", "node", "tokens")
     return _written(rows.mapInArrow(run, "path long, node long").distinct(), "entries", 64)
 
 
 def _met(entries: DataFrame, classes: DataFrame) -> DataFrame:
     """(path, m, hub, node, copies, sketch) of the nodes with two classes or more."""
     nodes = entries.groupBy("path").agg(F.count(F.lit(1)).alias("m"))
-    rows = entries.join(nodes.where("m > 1"), "path")
-    return rows.join(classes.select("node", "copies", "sketch"), "node")
+    rows = stage(entries.join(nodes.where("m > 1"), "path"), "shared")
+    known = _thinned(classes.select("node", "n", "copies", "sketch"), "node", rows, "node")
+    return rows.join(known, "node")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -394,8 +496,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(documents with their class, confirmed links between classes that keep components)."""
+def linked(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(documents with their class, component (node, root) of the classes that have links)."""
     bounded_batches(docs.sparkSession)
     digests = stage(_digests(docs, size, percent), "digests")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
@@ -403,13 +505,16 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
         digests.where("n > 0").groupBy("node").agg(
             F.min(least).alias("least"),
             F.count(F.lit(1)).alias("copies"),
+            F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
             F.first("paths").alias("paths"),
         ),
         "classes",
     )
     entries = classes.select(F.explode(F.array_distinct("paths")).alias("path"), "node")
-    sets, checked, waiting = None, [], []
+    same = digests.groupBy("doc_id", "text_key").count().where("count > 1")
+    repeated = not same.isEmpty()
+    sets, roots, checked, waiting, fresh = None, None, [], [], []
     for depth in range(1, DEPTH + 1):
         met = stage(_met(entries, classes), "met")
         member = F.collect_list(F.struct("node", "copies", "sketch")).alias("members")
@@ -427,57 +532,108 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[Da
         found = _written(_once(found), "candidates", 64)
         if sets is None:
             wanted = found.select(F.col("a").alias("node")).unionAll(found.select("b"))
-            sets = stage(_sets_of(docs, classes, wanted.unionAll(large.select("node")), size), "sets")
+            sets = stage(_sets_of(docs, classes, wanted.unionAll(large.select("node")).distinct(), size, repeated), "sets")
         waiting.append(found)
         checked.append(_confirmed(_picks(found, percent), sets, percent))
+        fresh.append(checked[-1])
         if large.isEmpty():
             break
-        few, branched = _open_large(large, _roots(checked), percent, depth)
-        waiting.append(few)
+        roots, fresh = _joined(roots, _union(fresh)), []
+        opened, branched = _open_large(large, sets, roots, percent, depth)
+        fresh.append(opened)
         if branched is None or branched.isEmpty():
             break
         entries = _children(branched, sets, percent)
-    roots = _roots(checked)
+    if roots is None:
+        roots, fresh = _joined(None, _union(fresh)), []
     rest = _once(_union(waiting)).select("a", "b")
     rest = rest.join(_union(checked).select("a", "b").distinct(), ["a", "b"], "left_anti")
-    for side in ("a", "b"):
-        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        rest = rest.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    rest = stage(rest.where("root_a <> root_b").select("a", "b"), "rest")
-    checked.append(_confirmed(rest, sets, percent))
-    return digests, _union(checked).where("linked").select("a", "b")
+    rest = stage(_rooted(rest, roots).where("root_a <> root_b").select("a", "b"), "rest")
+    return digests, _joined(roots, _union([*fresh, _confirmed(rest, sets, percent)]))
 
 
-def _roots(checked: list[DataFrame]) -> DataFrame:
-    return stage(components(_union(checked).where("linked")), "roots")
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs with the components of both sides."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return pairs
+
+
+def _joined(roots: DataFrame | None, pairs: DataFrame) -> DataFrame:
+    """(node, root) of all linked classes, after further pairs; only what these join is touched."""
+    pairs = pairs.where("linked").select("a", "b")
+    if roots is None:
+        return _reached(stage(pairs, "links"))
+    links = _rooted(pairs, roots).where("root_a <> root_b")
+    links = stage(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "links")
+    if links.isEmpty():
+        return roots
+    more = _reached(links)
+    moved = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    moved = moved.select("node", F.coalesce("to", "root").alias("root"))
+    # classes that were in no component before
+    return stage(moved.unionAll(more.join(roots, "node", "left_anti")), "roots")
+
+
+def _reached(links: DataFrame) -> DataFrame:
+    """(node, root): the least node that every node of the links (a, b) reaches.
+
+    In each round a node chooses its least neighbour, or itself; chains of choices go down
+    and are followed by doubling. Links within one root are done, the others go on between
+    roots, of which each round leaves half at most.
+    """
+    home = None
+    while True:
+        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("b"))
+        choice = stage(low.select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "choice")
+        while True:
+            further = choice.select(F.col("node").alias("root"), F.col("root").alias("end"))
+            choice = stage(choice.join(further, "root").select("node", "root", "end"), "choice")
+            done = choice.where("end <> root").isEmpty()
+            choice = choice.select("node", F.col("end").alias("root"))
+            if done:
+                break
+        if home is None:
+            home = choice
+        else:
+            to = choice.select(F.col("node").alias("root"), F.col("root").alias("to"))
+            # a root that has no link left stays
+            home = home.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+            home = stage(home, "home")
+        links = _rooted(links, choice).where("root_a <> root_b")
+        links = stage(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "links")
+        if links.isEmpty():
+            return home
 
 
 def _open_large(
-    large: DataFrame, roots: DataFrame, percent: int, depth: int
+    large: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, depth: int
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Candidates of the large nodes that can be compared now, and members of the others."""
+    """Links of the large nodes that can be compared now, and members of the others."""
     known = roots.select("node", F.col("root").alias("comp"))
-    members = large.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    members = stage(members, "members")
+    members = large.select("path", "node", "n", "sketch").join(known, "node", "left")
+    members = stage(members.withColumn("comp", F.coalesce("comp", "node")), "members")
     counts = members.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
-    main = counts.groupBy("path").agg(F.max(F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"))
-    main = main.select("path", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.k")).alias("others"))
-    members = members.join(main.where("others > 0"), "path")
+    main = counts.groupBy("path").agg(F.max("k").alias("main"), F.sum("k").alias("all"))
+    main = main.select("path", "all", (F.col("all") - F.col("main")).alias("others")).where("others > 0")
+    members = members.join(main, "path")
     last = depth == DEPTH
-    ready = members if last else members.where(F.col("others") <= SMALL)
-    row = F.struct("node", "copies", "comp", "sketch")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("others") / SMALL))
-    few = ready.where("comp <> main").groupBy("path", part.alias("part")).agg(F.collect_list(row).alias("few"))
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / CHUNK))
-    many = ready.groupBy("path", chunk.alias("chunk")).agg(F.collect_list(row).alias("many"))
-    opened = _written(_across(few.join(many, "path"), percent), "opened", 8)
-    return opened, None if last else members.where(F.col("others") > SMALL).select("path", "node")
+    ready = members if last else members.where(F.col("others") <= MIDDLE)
+    near = _nearby(_chunk_pairs(ready, F.ceil(F.col("all") / CHUNK), "node", "comp", "sketch"), percent)
+    near = _written(near, "near", 8)
+    ready = stage(ready.select("path", "node", "n", "comp").join(near, ["path", "node"], "left_semi"), "ready")
+    total = ready.groupBy("path").agg(F.sum("n").alias("tokens_in"))
+    ready = ready.join(_thinned(sets, "node", ready, "node"), "node").join(total, "path")
+    pairs = _chunk_pairs(ready, F.ceil(F.col("tokens_in") / CHUNK_TOKENS), "node", "comp", "tokens")
+    opened = _written(_opened(pairs, percent), "opened", 2)
+    return opened, None if last else members.where(F.col("others") > MIDDLE).select("path", "node")
 
 
 def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document, and its text_key."""
-    digests, every = links(docs, size, percent)
-    roots = components(every)
+    digests, roots = linked(docs, size, percent)
     rows = digests.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     classes = rows.where("n > 0").groupBy("node").agg(F.min(least).alias("least"))

@@ -123,6 +123,14 @@ def test_top_k_equals_plain(spark, monkeypatch, block):
     assert got == _scores(rows, 5)
 
 
+def test_top_k_of_repeated_query_ids(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(1, 40)] + [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (100, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, 5).collect()
+    # each row with the id asks for itself
+    assert sum(r.query_id == 50 for r in found) == 10 and sum(r.query_id == 100 for r in found) == 5
+
+
 def test_top_k_of_chunks_and_of_nothing(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(i * 10, rng.normal(0, 1, 4).tolist()) for i in range(60)]

@@ -100,11 +100,13 @@ def copies(rows):
 COPIES = ("doc_id", "n_shingles", "component_id", "kept")
 
 
-@pytest.mark.parametrize(("small", "chunk", "depth"), [(64, 512, 5), (4, 8, 5), (3, 6, 1)])
-def test_near_copies_equal_plain(spark, monkeypatch, small, chunk, depth):
+@pytest.mark.parametrize(("small", "middle", "chunk"), [(64, 8_192, 1 << 19), (4, 8, 2_000)])
+def test_near_copies_equal_plain(spark, monkeypatch, small, middle, chunk):
     monkeypatch.setattr(chosen_path, "SMALL", small)
-    monkeypatch.setattr(chosen_path, "CHUNK", chunk)
-    monkeypatch.setattr(chosen_path, "DEPTH", depth)
+    monkeypatch.setattr(chosen_path, "CHUNK_TOKENS", chunk)
+    monkeypatch.setattr(chosen_path, "CHUNK", max(chunk >> 7, 16))
+    monkeypatch.setattr(chosen_path, "DEPTH", 3)
+    monkeypatch.setattr(chosen_path, "MIDDLE", middle)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(3_000)]
     shared = " ".join(rng.choice(words) for _ in range(60))
