@@ -377,7 +377,7 @@ def run_gold(
     return tables
 
 
-def song_dimension(spark: SparkSession, paths: Paths, stamp: Column, faithful: bool) -> DataFrame:
+def song_dimension(spark: SparkSession, paths: Paths, stamp: Column, faithful: bool = False) -> DataFrame:
     """The song dimension after the songs that are behind were made anew."""
     by_song, silver_tables = song_store(spark, paths), silver_store(spark, paths)
     change = by_song.change()
