@@ -1,35 +1,16 @@
-"""Whole runs over the driver tables: batches one after the other, and the log they leave."""
+"""Runs over the driver tables and the log they leave."""
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from lodestrata.catalog import roles
 from lodestrata.catalog.registry import query
-from lodestrata.catalog.roles import AS_OF, DIM_SONG, table
+from lodestrata.catalog.roles import table
 from lodestrata.functions import natural_key
 from lodestrata.operators import monitoring
 from lodestrata.plans import medallion
-from lodestrata.session import shared_folder, stage
-
-
-@query(f"WITH {DIM_SONG} SELECT *, artist_name AS original_artist FROM dim_song")
-def dim_song_by_batches(spark, sf_dir):
-    """The song dimension after two batches, each landed, merged, matched and published by itself."""
-    paths, at = medallion.Paths(shared_folder(spark)), datetime.fromisoformat(AS_OF)
-    track_id = F.regexp_extract("value", r'"items":\[?\{"id":"([^"]*)"', 1)
-    audio = roles.spotify_messages(spark, sf_dir).drop("l_partkey").withColumn("half", F.pmod(F.xxhash64(track_id), F.lit(2)))
-    video = roles.youtube_messages(spark, sf_dir).withColumn("half", F.pmod(F.xxhash64("raw_id"), F.lit(2)))
-    audio, video = stage(audio, "audio"), stage(video, "video")
-    for half in (0, 1):
-        messages = {p: rows.filter(F.col("half") == half).drop("half") for p, rows in (("spotify", audio), ("youtube", video))}
-        medallion.run_bronze(messages, paths, f"batch-{half}")
-        medallion.run_silver(spark, paths, f"batch-{half}", at, only_batch=True)
-        songs = medallion.song_dimension(spark, paths, roles.as_of())
-    return songs.drop("created_at", "updated_at")
+from lodestrata.session import shared_folder
 
 
 @query(
