@@ -4,12 +4,15 @@ A song matches a video if its title and artist both occur in the video's title.
 brings new songs and new videos, and only these are compared:
 
 * new songs with all titles, through a stored inverted index: the grams of every title, in
-  buckets by gram. A song is looked up by its rarest gram, so a batch opens the buckets of
-  as many grams as it has new songs;
-* known songs with new titles, through the same for songs: every song is filed under its gram,
+  buckets by gram. Each name of a song, its title and its artist, is looked up by its rarest
+  gram, so a batch opens the buckets of as many grams as its new songs have names;
+* known songs with new titles, through the same for names: every name is filed under its gram,
   and the titles' grams open the buckets they fall into.
 
-What is stored: tracks with their song, songs with their tracks, videos, both indexes,
+Names are found one by one; a video that holds a title and an artist is then looked up among the
+songs by their song_id. So a title of very many songs costs its own occurrences only.
+
+What is stored: tracks with their song, songs with their tracks, their names, videos, both indexes,
 how often titles use a gram, and the matched pairs by song and by video. All of it changes by one commit (see
 `sinks.store`), so a batch that is lost half-way can simply be run again.
 
@@ -23,7 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.operators.containment import GRAM, holds, needle_grams, text_grams_of
+from lodestrata.functions import song_id
+from lodestrata.operators.containment import (
+    holds,
+    of_used_grams,
+    part_grams,
+    parts_of,
+    text_grams_of,
+    together,
+)
 from lodestrata.plans import mapping
 from lodestrata.plans.mapping import SONG
 from lodestrata.session import stage
@@ -38,9 +49,10 @@ TABLES = {
     "tracks": Table(_TRACK, ("track_id",), updates=("track_name", "isrc_code", *SONG)),
     "songs": Table(f"{_SONG}, tracks BIGINT", ("song_id",)),
     "videos": Table(_VIDEO, ("video_id",), updates=("title", "channel_id", "view_count", "title_normalized")),
-    "title_grams": Table("gram STRING, video_id STRING", by=("gram",)),
-    "gram_counts": Table("gram STRING, n BIGINT", by=("gram",)),
-    "song_grams": Table(f"gram STRING, {_SONG}", by=("gram",)),
+    "title_grams": Table("gram BIGINT, video_id STRING", by=("gram",)),
+    "gram_counts": Table("gram BIGINT, n BIGINT", by=("gram",)),
+    "song_names": Table("_part STRING, _use INT", by=("_part",)),
+    "song_grams": Table("gram BIGINT, _part STRING, _use INT", by=("gram",)),
     "song_tracks": Table("song_id STRING, track_id STRING", ("song_id", "track_id"), by=("song_id",)),
     "pairs": Table("song_id STRING, video_id STRING", ("song_id", "video_id"), by=("song_id",)),
     "video_songs": Table("song_id STRING, video_id STRING", by=("video_id",)),
@@ -82,7 +94,7 @@ class Matcher:
         theirs = theirs.join(videos, "video_id", "left_semi").select("song_id")
         touched = tracks.select("song_id").unionByName(left).unionByName(theirs).distinct()
         touched = stage(touched, "touched_songs")
-        for name in ("title_grams", "gram_counts", "song_grams", "pairs", "video_songs"):
+        for name in ("title_grams", "gram_counts", "song_names", "song_grams", "pairs", "video_songs"):
             if any(len(f) > MOST_FOLDERS for f in change.folders(name).values()):
                 change.compact(name)
         change.commit()
@@ -130,42 +142,60 @@ class Matcher:
         titles = videos.select("video_id", "title_normalized")
         titles = stage(titles.join(before, ["video_id", "title_normalized"], "left_anti"), "titles")
         change.merge("videos", videos)
-        grams = titles.select("video_id", F.explode(_all_grams("title_normalized")).alias("gram"))
-        grams = stage(grams, "grams")
+        grams = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
         change.append("title_grams", grams)
         change.append("gram_counts", grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
         return titles
 
     def _known_songs(self, change: Change, titles: DataFrame) -> DataFrame:
-        """Pairs of new titles and songs that are filed already."""
-        probes = titles.select("*", F.explode(_all_grams("title_normalized")).alias("gram"))
+        """Pairs of new titles and songs that are known already."""
+        probes = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
         buckets = self.store.touched("song_grams", probes)
         self.opened["song_grams"] = change.files("song_grams", buckets)
-        songs = change.read("song_grams", buckets)
-        met = probes.join(songs, "gram").filter(holds(F.col("title_normalized"), PARTS))
-        return met.select("song_id", "video_id")
+        names = change.read("song_grams", buckets)
+        met = self._met(self._near(titles, names), titles)
+        songs = change.read("songs", self.store.touched("songs", met)).select(*SONG)
+        return met.join(songs, SONG).select("song_id", "video_id")
 
     def _all_titles(self, change: Change, fresh: DataFrame) -> DataFrame:
-        """Pairs of new songs and all titles; files the songs under their grams."""
+        """Pairs of new songs and all titles; files the songs' names under their grams."""
         store = self.store
-        _, grams = needle_grams(PARTS, GRAM)
         some = fresh.filter("song_title_normalized <> '' AND artist_name_normalized <> ''")
-        each = some.select("song_id", F.explode(grams).alias("gram"))
+        names = stage(parts_of(some, PARTS), "names")
+        each = names.select("*", F.explode(part_grams(F.col("_part"))).alias("gram"))
         counts = change.read("gram_counts", store.touched("gram_counts", each))
         counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
         rated = each.join(counts, "gram", "left")
-        rated = rated.select("song_id", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("key"))
-        rarest = rated.groupBy("song_id").agg(F.min("key").alias("key"))
-        filed = some.join(rarest.select("song_id", F.col("key.gram").alias("gram")), "song_id")
-        filed = stage(filed.select("gram", *SONG), "filed")
-        change.append("song_grams", filed)
-        buckets = store.touched("title_grams", filed)
+        rated = rated.select("_part", "_use", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("key"))
+        rarest = rated.groupBy("_part", "_use").agg(F.min("key").alias("key"))
+        filed = stage(rarest.select(F.col("key.gram").alias("gram"), "_part", "_use", "key.n"), "filed")
+        known = change.read("song_names", store.touched("song_names", filed))
+        new = stage(filed.drop("n").join(known, ["_part", "_use"], "left_anti"), "new_names")
+        change.append("song_names", new)
+        change.append("song_grams", new)
+        # A song is looked up by the rarer of its names; its other name is looked for in what that finds.
+        both = some.select("song_id", F.explode(F.array(*PARTS)).alias("_part")).join(filed, "_part")
+        both = both.groupBy("song_id").agg(F.min(F.struct("n", "_part", "gram")).alias("key"))
+        asked = stage(both.select("key._part", "key.gram").distinct(), "asked")
+        buckets = store.touched("title_grams", asked)
         self.opened["title_grams"] = change.files("title_grams", buckets)
-        near = change.read("title_grams", buckets).join(filed, "gram").drop("gram")
+        near = change.read("title_grams", buckets).join(asked, "gram").drop("gram").distinct()
         near = stage(near, "candidates")
         texts = change.read("videos", store.touched("videos", near)).select("video_id", "title_normalized")
-        met = near.join(texts, "video_id").filter(holds(F.col("title_normalized"), PARTS))
-        return met.select("song_id", "video_id")
+        held = near.join(texts, "video_id").filter(F.contains("title_normalized", "_part")).drop("_part")
+        held = stage(held.distinct(), "held")
+        return self._met(self._near(held, filed.drop("n")), held).join(some, SONG).select("song_id", "video_id")
+
+    def _near(self, titles: DataFrame, names: DataFrame) -> DataFrame:
+        """(video_id, _part, _use): names whose gram a title has."""
+        probes = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
+        return of_used_grams(probes, names, "gram").join(names, "gram").drop("gram").distinct()
+
+    def _met(self, near: DataFrame, titles: DataFrame) -> DataFrame:
+        """Candidates (video_id, _part, _use) -> the songs that a title would match, and the video."""
+        found = near.join(titles, "video_id").filter(F.contains("title_normalized", "_part"))
+        found = together(found.select("video_id", "_part", "_use"), "video_id", PARTS)
+        return stage(found.withColumn("song_id", song_id(*PARTS)), "met")
 
     def tracks(self) -> DataFrame:
         return self.store.read("tracks")
@@ -192,7 +222,3 @@ class Matcher:
         met = met.filter(holds(F.col("title_normalized"), PARTS))
         return mapping.assemble(near("tracks", ids, "track_id"), met, as_of, **options)
 
-
-def _all_grams(text: str) -> Column:
-    """Grams of all lengths a song can be filed under."""
-    return text_grams_of(F.col(text), range(GRAM + 1))

@@ -117,6 +117,22 @@ def test_blocked_join_shuffles_needle_grams_only(spark, scratch):
     assert spark.read.parquet(*grams).select("_row").distinct().count() == 1
 
 
+def test_parts_are_keyed_not_needles(spark):
+    titles = ["cold bolt", "old bolt", "hot bolt", "blue bolt"]
+    artists = [f"supplier0000{i}0076" for i in range(5)]
+    needles = [(a, b) for a in titles for b in artists]
+    n, t = frames(spark, needles, [f"{a} {b} live" for a, b in needles])
+    found = contains_match(n, t, ["a", "b"], "t", strategy="shuffle")
+    files = found.inputFiles()
+    keys = spark.read.parquet(*[f for f in files if "/part_keys/" in f])
+    grams = spark.read.parquet(*[f for f in files if "/text_grams/" in f])
+    # a key for every title and artist, and texts are met for these alone: 25 title and 20 artist occurrences
+    assert keys.count() == 9
+    assert keys.join(grams, "_gram").count() == 45
+    got = found.select("i", "j").collect()
+    assert sorted((r.i, r.j) for r in got) == brute(needles, [f"{a} {b} live" for a, b in needles], False)
+
+
 def test_no_needles(spark):
     n, t = frames(spark, [("x", "y")], TEXTS)
     assert contains_match(n.filter("i > 5"), t, ["a", "b"], "t").count() == 0
