@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestrata import session
 from lodestrata.plans import medallion
 from lodestrata.plans.bronze import as_messages, bronze_youtube
-from lodestrata.session import shared_folder
+from lodestrata.session import shared_folder, spread
 from lodestrata.sinks import messages as out
 from lodestrata.sinks import tables as sink
 from lodestrata.sources import files, tables, topics
@@ -347,3 +347,11 @@ def test_batch_merge_follows_the_update_rules(spark, tmp_path):
     assert (track.track_name, track.isrc_code, track.disc_number) == ("New", "I2", 1)
     assert (video.title, video.view_count) == ("title 1", 20)
     assert tables["silver_song_mapping"].count() == 1
+
+
+def test_spread_gives_a_task_a_bounded_number_of_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr("lodestrata.session.SPREAD_ROWS", 10)
+    spark.range(0, 300, numPartitions=1).write.parquet(f"{scratch}/t")
+    rows = spread(spark.read.parquet(f"{scratch}/t"))
+    assert rows.rdd.getNumPartitions() == 30
+    assert sorted(r.id for r in rows.collect()) == list(range(300))
