@@ -133,7 +133,7 @@ def test_same_by_code(spark):
     pairs += [(300 + i, "hot") for i in range(50)] + [(1, "alone"), (2, "x"), (2, "x")]
     pairs += [(rnd.randint(400, 460), f"q{rnd.randint(0, 45)}") for _ in range(80)]
     df = spark.createDataFrame([*pairs, (None, "hot"), (5, None)], "r long, c string")
-    assert rows(same_by_code(df, "r", "c")) == plain_least(pairs)
+    assert rows(same_by_code(df, "r", "c")) == sorted(plain_least(pairs), key=str)
     assert same_by_code(df.limit(0), "r", "c").count() == 0
 
 
