@@ -606,18 +606,18 @@ def _enriched(spark, sf_dir):
     """Parts as catalogue songs, lineitem and events as fetched responses."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     song = text(F.col("p_name"), " #", F.col("p_partkey"))
-    documents = pick_version(
-        roles.spotify_messages(spark, sf_dir), ["l_partkey"], [F.col("ingested_at"), F.col("raw_id")]
-    )
+    # Versions are chosen among the rows, so that only the chosen ones travel and are rendered.
+    newest = [F.col("l_shipdate"), roles.track_raw_id()]
+    documents = roles.as_responses(pick_version(roles.track_rows(spark, sf_dir), ["l_partkey"], newest))
     audio = documents.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         song.alias("query"), F.get_json_object("value", "$.tracks.items").alias("items")
     )
-    responses = roles.video_rows(spark, sf_dir).filter(F.col("p_name").isNotNull()).select(
-        F.concat(song, F.lit(" Supplier#"), roles.padded(F.col("k"))).alias("query"),
-        F.to_json(F.array(roles.video_item())).alias("items"),
-        "event_id",
+    found = roles.video_rows(spark, sf_dir).filter(F.col("p_name").isNotNull()).withColumn(
+        "query", F.concat(song, F.lit(" Supplier#"), roles.padded(F.col("k")))
+    )
+    video = pick_version(found, ["query"], [F.col("event_id")]).select(
+        "query", F.to_json(F.array(roles.video_item())).alias("items")
     )
-    video = pick_version(responses, ["query"], [F.col("event_id")]).drop("event_id")
     return backlog.enrich_catalogue(_catalogue(spark, sf_dir), audio, video)
 
 

@@ -78,8 +78,25 @@ def _artist(artist_id: Column, name: Column) -> Column:
     )
 
 
+def track_raw_id() -> Column:
+    return natural_key(
+        F.lit("spotify"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.col("l_quantity").cast("int"),
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
+    )
+
+
 def spotify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(raw_id, value, ingested_at): one search response per lineitem row."""
+    return as_responses(track_rows(spark, sf_dir))
+
+
+def as_responses(rows: DataFrame) -> DataFrame:
+    """Rows of `track_rows` as search responses."""
     c = F.col
     line = c("l_linenumber")
     track_id = text("T", c("l_orderkey"), "-", line)
@@ -133,17 +150,8 @@ def spotify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         items,
         F.lit("}}"),
     )
-    raw_id = natural_key(
-        F.lit("spotify"),
-        "l_orderkey",
-        line,
-        "l_partkey",
-        "l_suppkey",
-        c("l_quantity").cast("int"),
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
-    )
-    return track_rows(spark, sf_dir).select(
-        raw_id.alias("raw_id"), value.alias("value"), c("l_shipdate").alias("ingested_at"), "l_partkey"
+    return rows.select(
+        track_raw_id().alias("raw_id"), value.alias("value"), c("l_shipdate").alias("ingested_at"), "l_partkey"
     )
 
 
