@@ -122,7 +122,7 @@ def response_validity(spark, sf_dir):
 
 @query(f"WITH {DOCS}, {ARTIST} SELECT artist_id, artist_name, ingested_at FROM artist")
 def silver_artist(spark, sf_dir):
-    rows = silver.artists(roles.audio_items(spark, sf_dir))
+    rows = silver.artists(roles.audio_items(spark, sf_dir, schemas.ARTISTS_DOC))
     return rows.select("artist_id", "artist_name", "ingested_at")
 
 
@@ -132,13 +132,13 @@ def silver_artist(spark, sf_dir):
 )
 def silver_artist_oldest(spark, sf_dir):
     """Version choice of the source system: the oldest document wins."""
-    rows = silver.artists(roles.audio_items(spark, sf_dir), keep="oldest")
+    rows = silver.artists(roles.audio_items(spark, sf_dir, schemas.ARTISTS_DOC), keep="oldest")
     return rows.select("artist_id", "artist_name", "ingested_at")
 
 
 @query(f"WITH {DOCS}, {ALBUM} SELECT * FROM album")
 def silver_album(spark, sf_dir):
-    rows = silver.albums(roles.audio_items(spark, sf_dir))
+    rows = silver.albums(roles.audio_items(spark, sf_dir, schemas.ALBUM_ONLY_DOC))
     return rows.select(
         "album_id",
         "album_name",
@@ -152,7 +152,7 @@ def silver_album(spark, sf_dir):
 
 @query(f"WITH {TRACK} SELECT * FROM track")
 def silver_track(spark, sf_dir):
-    rows = silver.tracks(roles.audio_items(spark, sf_dir))
+    rows = silver.tracks(roles.audio_items(spark, sf_dir, schemas.TRACK_ONLY_DOC))
     return rows.select(
         "track_id",
         "track_name",
@@ -170,12 +170,12 @@ def silver_track(spark, sf_dir):
 
 @query(f"WITH {DOCS}, {ARTIST} SELECT * FROM track_artist")
 def silver_track_artist(spark, sf_dir):
-    return silver.track_artists(roles.audio_items(spark, sf_dir))
+    return silver.track_artists(roles.audio_items(spark, sf_dir, schemas.TRACK_ARTIST_DOC))
 
 
 @query(f"WITH {DOCS}, {ARTIST} SELECT * FROM album_artist")
 def silver_album_artist(spark, sf_dir):
-    return silver.album_artists(roles.audio_items(spark, sf_dir))
+    return silver.album_artists(roles.audio_items(spark, sf_dir, schemas.ALBUM_ARTIST_DOC))
 
 
 @query(f"WITH {VIDEO} SELECT * FROM channel")
@@ -220,7 +220,7 @@ def version_choice(spark, sf_dir):
     FROM track JOIN track_artist USING (track_id) JOIN artist USING (artist_id) WHERE is_primary"""
 )
 def primary_artist_inner(spark, sf_dir):
-    items = stage(roles.audio_items(spark, sf_dir), "items")
+    items = roles.staged_audio(spark, sf_dir, schemas.MAPPING_DOC)
     return mapping.primary_artist_inner(
         silver.tracks(items), silver.track_artists(items), silver.artists(items)
     )
@@ -232,7 +232,7 @@ def primary_artist_inner(spark, sf_dir):
       WHERE is_primary GROUP BY 1) USING (track_id) LEFT JOIN artist USING (artist_id)"""
 )
 def primary_artist_left(spark, sf_dir):
-    items = stage(roles.audio_items(spark, sf_dir), "items")
+    items = roles.staged_audio(spark, sf_dir, schemas.MAPPING_DOC)
     return mapping.primary_artist_left(
         silver.tracks(items), silver.track_artists(items), silver.artists(items)
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestrata import schemas
 from lodestrata.catalog import roles
 from lodestrata.catalog.registry import query
 from lodestrata.catalog.roles import (
@@ -23,6 +24,7 @@ from lodestrata.catalog.roles import (
 from lodestrata.operators import backlog, monitoring, profile, quality
 from lodestrata.operators.latest import pick_version
 from lodestrata.operators.merge import insert_if_absent, merge_patch, merge_upsert
+from lodestrata.plans import silver
 from lodestrata.session import shared_folder
 from lodestrata.sinks.messages import bulk_rows, message_rows
 from lodestrata.sinks.tables import write_partitions, write_staging
@@ -326,8 +328,8 @@ def dq_reject_split(spark, sf_dir):
     UNION ALL SELECT 'event_user', count(*) FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)"""
 )
 def referential_orphans(spark, sf_dir):
-    s = roles.silver_tables(spark, sf_dir)
-    links = quality.orphans(s.track_artist, "artist_id", s.artist, "artist_id")
+    audio = roles.staged_audio(spark, sf_dir, schemas.MAPPING_DOC)
+    links = quality.orphans(silver.track_artists(audio), "artist_id", silver.artists(audio), "artist_id")
     users = quality.orphans(table(spark, sf_dir, "events"), "user_id", table(spark, sf_dir, "supplier"), "s_suppkey")
 
     def total(df, name):
