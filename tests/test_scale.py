@@ -128,3 +128,47 @@ def test_staged_documents_hold_what_the_mapping_reads(spark, scratch):
     assert rows(part.select(*fields)) == rows(whole.select(*fields))
     written = spark.read.parquet(*{f.rpartition("/")[0] for f in part.inputFiles()}).schema["item"].dataType
     assert written.fieldNames() == ["id", "name", "external_ids", "artists"]
+
+
+def test_lines_are_dealt_once_and_by_order(spark, scratch):
+    d = little_tables(spark, f"{scratch}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = roles.track_rows(spark, d)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [x for x in plan.split("\n") if "Exchange" in x and "l_orderkey" in x]
+    assert len(dealt) == 1 and "RoundRobin" not in plan
+    tables = {t: spark.read.parquet(f"{d}/{t}.parquet").count() for t in ("lineitem", "orders")}
+    assert tables["orders"] == 6 and lines.count() == tables["lineitem"]
+
+
+def test_tracks_are_chosen_once_and_dealt_by_track(spark, scratch):
+    d = little_tables(spark, f"{scratch}/t")
+    s, link = roles.song_tables(spark, d)
+    plain = roles.silver_tables(spark, d)
+    fields = ["track_id", "track_name", "isrc_code", "album_id", "song_code"]
+    assert rows(s.track.select(*fields)) == rows(plain.track.select(*fields))
+    assert rows(link) == rows(roles.song_mapping(plain))
+    songs = gold.dim_song(link, s.track, s.album, s.video, roles.as_of())
+    assert rows(songs) == rows(gold.dim_song(link, plain.track, s.album, s.video, roles.as_of()))
+    plan = songs._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("Window" in x and "track_id" in x for x in plan)
+    assert not any("Exchange" in x and "track_id" in x and ", song_id" in x for x in plan)
+
+
+def test_stages_are_packed(spark, scratch):
+    from lodestrata.session import stage
+
+    digests = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("raw_id"))
+    digests.write.option("compression", "snappy").parquet(f"{scratch}/plain")
+    staged = stage(digests.coalesce(1))
+
+    def size(files):
+        from pathlib import Path
+
+        return sum(Path(f.removeprefix("file:")).stat().st_size for f in files)
+
+    assert staged.count() == 20_000
+    assert size(staged.inputFiles()) < 0.7 * size(spark.read.parquet(f"{scratch}/plain").inputFiles())
