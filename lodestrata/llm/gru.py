@@ -16,6 +16,8 @@ CLASSES = 24
 #: Steps through which an error is carried back.
 WINDOW = 16
 STREAMS = 64
+#: Words whose outputs are taken at once.
+ROWS = 8_192
 NAMES = ("E", "U", "A", "a", "W", "b")
 
 
@@ -26,8 +28,26 @@ def classes_of(counts: np.ndarray, n: int = CLASSES) -> np.ndarray:
     return np.unique(np.concatenate([[0], cut, [len(counts)]]).astype(np.int64))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _by_gate(weights: np.ndarray) -> np.ndarray:
+    """(rows, 3 k) -> (3, rows, k): a gate's weights side by side, so that its numbers are, too."""
+    rows, k = len(weights), weights.shape[1] // 3
+    return np.ascontiguousarray(weights.reshape(rows, 3, k).transpose(1, 0, 2))
+
+
+def _step(x: np.ndarray, u: np.ndarray, h: np.ndarray):
+    """Inputs and recurrent part by gate, and the state -> gates, candidate and next state."""
+    gates = x[:2] + u[:2]
+    gates *= 0.5
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
+    new = gates[1] * u[2]
+    new += x[2]
+    np.tanh(new, out=new)
+    after = h - new
+    after *= gates[0]
+    after += new
+    return gates, new, after
 
 
 @dataclass
@@ -46,64 +66,66 @@ class Gru:
     def hidden(self) -> int:
         return len(self.U)
 
-    def step(self, word: np.ndarray, h: np.ndarray) -> np.ndarray:
-        k = self.hidden
-        x, u = self.E[word], h @ self.U
-        gates = _sigmoid(x[:, : 2 * k] + u[:, : 2 * k])
-        z, r = gates[:, :k], gates[:, k:]
-        new = np.tanh(x[:, 2 * k :] + r * u[:, 2 * k :])
-        return new + z * (h - new)
-
     def class_of(self, word: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds[1:], word, side="right")
 
     def logs(self, word: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Natural log of P(class), times P(word | class) within the shortlist."""
         own = self.class_of(word)
-        logits = h @ self.A + self.a
-        top = logits.max(axis=1)
-        out = logits[np.arange(len(word)), own] - top
-        out -= np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        order = np.argsort(own, kind="stable")
+        logits = h @ self.A
+        logits += self.a
+        logits -= logits.max(axis=1, keepdims=True)
+        out = logits[np.arange(len(word)), own]
+        out -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        # the words of a class side by side
+        order = np.argsort(own.astype(np.uint16), kind="stable")
         cut = np.searchsorted(own[order], np.arange(len(self.bounds)))
-        for c in range(len(self.bounds) - 1):
-            rows = order[cut[c] : cut[c + 1]]
+        h, word, inside = h.take(order, axis=0), word[order], out[order]
+        for c in np.flatnonzero(np.diff(cut)):
             lo, hi = self.bounds[c], self.bounds[c + 1]
-            if not len(rows) or hi - lo == 1:
+            if hi - lo == 1:
                 continue
-            inner = h[rows] @ self.W[:, lo:hi] + self.b[lo:hi]
-            top = inner.max(axis=1)
-            out[rows] += inner[np.arange(len(rows)), word[rows] - lo] - top
-            out[rows] -= np.log(np.exp(inner - top[:, None]).sum(axis=1))
+            rows = slice(cut[c], cut[c + 1])
+            inner = h[rows] @ self.W[:, lo:hi]
+            inner += self.b[lo:hi]
+            inner -= inner.max(axis=1, keepdims=True)
+            inside[rows] += inner[np.arange(len(inner)), word[rows] - lo]
+            inside[rows] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+        out[order] = inside
         return out
 
-    def score(self, word: np.ndarray, first: np.ndarray, window: int = 16) -> np.ndarray:
+    def score(self, word: np.ndarray, first: np.ndarray, window: int | None = None) -> np.ndarray:
         """Sum of `logs` over each text; the state runs through a text from end to end.
 
         Texts advance together, one word a step, the longest first; outputs are taken
-        a window at a time.
+        a window of steps at a time, by default as many as make about ROWS words.
         """
         length = np.diff(first)
         order = np.argsort(-length, kind="stable")
-        sorted_length = length[order]
+        falling, start = length[order], first[:-1][order]
         out = np.zeros(len(length))
+        steps = int(falling[0]) if len(length) else 0
+        # texts that have a word at a step
+        live = np.searchsorted(-falling, -np.arange(steps), side="left")
         h = np.zeros((len(length), self.hidden), np.float32)
-        tail = len(self.b)
-        previous = np.full(len(length), tail + 1)
-        for begin in range(0, int(sorted_length[0]) if len(length) else 0, window):
-            states, words, texts = [], [], []
-            for t in range(begin, min(begin + window, int(sorted_length[0]))):
-                live = int(np.searchsorted(-sorted_length, -t, side="left"))
-                if not live:
-                    break
-                h[:live] = self.step(previous[:live], h[:live])
-                now = word[first[order[:live]] + t]
-                states.append(h[:live].copy())
-                words.append(now)
-                texts.append(order[:live])
-                previous[:live] = now
-            found = self.logs(np.concatenate(words), np.concatenate(states))
-            out += np.bincount(np.concatenate(texts), found, minlength=len(out))
+        E, U = _by_gate(self.E), _by_gate(self.U)
+        begin = 0
+        while begin < steps:
+            end = min(begin + (window or max(ROWS // int(live[begin]), 1)), steps)
+            n = live[begin:end]
+            cut = np.concatenate([[0], np.cumsum(n)])
+            text = np.arange(cut[-1]) - np.repeat(cut[:-1], n)
+            at = start[text] + np.repeat(np.arange(begin, end), n)
+            # inputs are the words before; a text's first input is the start
+            before = word[at - 1]
+            if not begin:
+                before[: n[0]] = len(self.b) + 1
+            x, states = E.take(before, axis=1), np.empty((cut[-1], self.hidden), np.float32)
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                h = h[: hi - lo]
+                states[lo:hi] = h = _step(x[:, lo:hi], np.matmul(h, U), h)[2]
+            out += np.bincount(order[text], self.logs(word[at], states), minlength=len(out))
+            begin = end
         return out
 
 
@@ -183,66 +205,79 @@ def train(
 
 def _window(model: Gru, words, before, h, start):
     k, scale = model.hidden, np.float32(1 / words.size)
-    kept, states, inputs = [], [], model.E[before]
+    kept, states, inputs, U = [], [], _by_gate(model.E).take(before, axis=1), _by_gate(model.U)
     for t in range(len(words)):
         ended = before[t] == start
         if ended.any():
             h = np.where(ended[:, None], np.float32(0), h)
-        x, u = inputs[t], h @ model.U
-        gates = _sigmoid(x[:, : 2 * k] + u[:, : 2 * k])
-        z, r = gates[:, :k], gates[:, k:]
-        new = np.tanh(x[:, 2 * k :] + r * u[:, 2 * k :])
-        kept.append((h, u[:, 2 * k :], z, r, new))
-        h = new + z * (h - new)
+        u = np.matmul(h, U)
+        (z, r), new, after = _step(inputs[:, t], u, h)
+        kept.append((h, u[2], z, r, new))
+        h = after
         states.append(h)
     flat, word = np.concatenate(states), words.ravel()
     gradient = {n: np.zeros_like(getattr(model, n)) for n in NAMES}
     d_flat = _output_gradient(model, word, flat, gradient, scale)
     d_states = d_flat.reshape(len(words), -1, k)
     carried = np.zeros_like(h)
-    d_x, d_u = np.empty_like(inputs), np.empty_like(inputs)
+    d_x, d_u = (np.empty((*before.shape, 3 * k), np.float32) for _ in range(2))
     for t in reversed(range(len(words))):
         old, u_new, z, r, new = kept[t]
         d = d_states[t] + carried
-        d_new = d * (1 - z) * (1 - new * new)
-        d_x[t, :, :k] = d * (old - new) * z * (1 - z)
-        d_x[t, :, k : 2 * k] = d_new * u_new * r * (1 - r)
+        rest = 1 - z
+        d_new = d * rest
+        d_new *= 1 - new * new
+        d_z = old - new
+        for factor in (d, z, rest):
+            d_z *= factor
+        d_r = d_new * u_new
+        d_r *= r
+        d_r *= 1 - r
+        d_x[t, :, :k] = d_u[t, :, :k] = d_z
+        d_x[t, :, k : 2 * k] = d_u[t, :, k : 2 * k] = d_r
         d_x[t, :, 2 * k :] = d_new
-        d_u[t, :, : 2 * k] = d_x[t, :, : 2 * k]
         d_u[t, :, 2 * k :] = d_new * r
-        carried = d * z + d_u[t] @ model.U.T
+        d *= z
+        carried = d + d_u[t] @ model.U.T
         carried[before[t] == start] = 0
     olds = np.concatenate([row[0] for row in kept])
     gradient["U"] += olds.T @ d_u.reshape(-1, 3 * k)
     # sums by input word
-    order = np.argsort(before, axis=None, kind="stable")
+    order = np.argsort(before.ravel().astype(np.uint16) if start < 1 << 16 else before, axis=None, kind="stable")
     at = before.ravel()[order]
     head = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    gradient["E"][at[head]] = np.add.reduceat(d_x.reshape(-1, 3 * k)[order], head, axis=0)
+    gradient["E"][at[head]] = np.add.reduceat(d_x.reshape(-1, 3 * k).take(order, axis=0), head, axis=0)
     return h, gradient
 
 
 def _output_gradient(model: Gru, word, h, gradient, scale):
     own = model.class_of(word)
     logits = h @ model.A + model.a
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(word)), own] -= 1
     p *= scale
     gradient["A"] += h.T @ p
     gradient["a"] += p.sum(axis=0)
     d_h = p @ model.A.T
-    for c in np.unique(own):
-        if c == len(model.bounds) - 1:
-            continue
-        rows = np.flatnonzero(own == c)
+    # the words of a class side by side
+    order = np.argsort(own.astype(np.uint16), kind="stable")
+    cut = np.searchsorted(own[order], np.arange(len(model.bounds)))
+    h, word = h.take(order, axis=0), word[order]
+    inside = np.zeros_like(h)
+    for c in np.flatnonzero(np.diff(cut)):
+        rows = slice(cut[c], cut[c + 1])
         lo, hi = model.bounds[c], model.bounds[c + 1]
-        inner = h[rows] @ model.W[:, lo:hi] + model.b[lo:hi]
-        q = np.exp(inner - inner.max(axis=1, keepdims=True))
+        q = h[rows] @ model.W[:, lo:hi]
+        q += model.b[lo:hi]
+        q -= q.max(axis=1, keepdims=True)
+        np.exp(q, out=q)
         q /= q.sum(axis=1, keepdims=True)
-        q[np.arange(len(rows)), word[rows] - lo] -= 1
+        q[np.arange(len(q)), word[rows] - lo] -= 1
         q *= scale
         gradient["W"][:, lo:hi] += h[rows].T @ q
         gradient["b"][lo:hi] += q.sum(axis=0)
-        d_h[rows] += q @ model.W[:, lo:hi].T
+        inside[rows] = q @ model.W[:, lo:hi].T
+    d_h[order] += inside
     return d_h

@@ -22,7 +22,6 @@ documents are scored each, and count each. Without training documents every coun
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +60,16 @@ def _texts_with_ends(column: pa.Array):
         yield key, first
 
 
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and the place of each key among them; only the distinct ones are sorted."""
+    found = pa.array(key).dictionary_encode()
+    distinct = found.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(distinct)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place.take(found.indices.to_numpy())
+
+
 def _blocks(docs: DataFrame, training: Column) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -81,7 +90,7 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
 
     def one(number, ids, used, keys, lengths):
         key, length = np.concatenate(keys), np.concatenate(lengths)
-        vocabulary, at = np.unique(key, return_inverse=True)
+        vocabulary, at = _numbered(key)
         mine = np.repeat(np.array(used, dtype=bool), length)
         counts = np.bincount(at[mine], minlength=len(vocabulary)).astype(np.uint32)
         block = (TaskContext.get().partitionId() << 32) | number
@@ -91,7 +100,7 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
                 pa.array([ids], schema_ids),
                 pa.array([used], pa.list_(pa.bool_())),
                 pa.array([length.tolist()], pa.list_(pa.int64())),
-                pa.array([zlib.compress(at.astype(np.uint32).tobytes(), 1)], pa.binary()),
+                pa.array([pa.compress(at.astype(np.uint32).tobytes(), "zstd", asbytes=True)], pa.binary()),
                 pa.array([vocabulary.tobytes()], pa.binary()),
                 pa.array([counts.tobytes()], pa.binary()),
                 pa.array([int(counts.sum())], pa.int64()),
@@ -110,6 +119,12 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
     )
 
 
+def _unpacked(words: bytes, length) -> np.ndarray:
+    """The words of a block as numbers of its vocabulary; the texts' lengths tell how many."""
+    size = 4 * int(np.sum(np.asarray(length)))
+    return np.frombuffer(pa.decompress(words, size, "zstd"), np.uint32)
+
+
 def _counts(blocks: DataFrame, keep) -> DataFrame:
     """(word, n) summed over the blocks, for the words that `keep` picks in a block."""
 
@@ -209,7 +224,7 @@ def fit(blocks: DataFrame, key, counts, tokens: int) -> gru.Gru:
             seen = 0
             for batch in batches:
                 for w, v, used, length in zip(*batch.columns, strict=True):
-                    at = np.frombuffer(zlib.decompress(w.as_py()), np.uint32)
+                    at = _unpacked(w.as_py(), length.values)
                     word = number(np.frombuffer(v.as_py(), np.uint64))[at]
                     first = np.concatenate([[0], np.cumsum(length.values.to_numpy())])
                     own = np.flatnonzero(used.values.to_numpy(zero_copy_only=False))[turn::ROUNDS]
@@ -283,15 +298,15 @@ def score(docs: DataFrame, training: Column, shortlist: int = SHORTLIST) -> Data
         heads = right.column("head").to_numpy()
         known_words = int((heads & (right.column("c").to_numpy() > 0)).sum())
         for row in left.to_pylist():
-            at = np.frombuffer(zlib.decompress(row["words"]), np.uint32)
-            vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
             length = np.array(row["length"], np.int64)
+            at = _unpacked(row["words"], length)
+            vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
             first = np.concatenate([[0], np.cumsum(length)])
             word = number(vocabulary)[at]
             found = model.score(word, first) / math.log(10)
             tail = word == len(number.key)
             del word
-            log = np.log10(c + 1.0)[at]
+            log = np.log10(c + 1.0).take(at)
             base = np.add.reduceat(log, first[:-1])
             log[~tail] = 0
             found += np.add.reduceat(log, first[:-1])

@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -454,3 +455,29 @@ def test_stages_keep_the_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs, sf_dir).dtypes == docs.dtypes
+
+
+def test_block_words_are_numbered_by_key_and_packed():
+    rng = np.random.default_rng(2)
+    key = np.append(rng.integers(0, 2**64, 50, np.uint64).take(rng.integers(0, 50, 900)), lm_score.END)
+    distinct, at = lm_score._numbered(key)
+    assert [x.tolist() for x in (distinct, at)] == [x.tolist() for x in np.unique(key, return_inverse=True)]
+    assert distinct.dtype == np.uint64 and lm_score._numbered(key[:0])[1].tolist() == []
+    words = pa.compress(at.astype(np.uint32).tobytes(), "zstd", asbytes=True)
+    assert lm_score._unpacked(words, pa.array([400, 0, 501])).tolist() == at.tolist()
+
+
+def test_network_looks_at_few_long_texts_in_long_windows(monkeypatch):
+    """A window holds as many steps as make ROWS words, and never changes a score."""
+    model = gru.create(np.array([9.0, 5, 3, 2]), 4.0)
+    rng = np.random.default_rng(3)
+    model.A = rng.normal(0, 1, model.A.shape).astype(np.float32)
+    first = np.array([0, 300, 300, 305, 306])
+    word, calls = rng.integers(0, 5, 306), []
+    logs = gru.Gru.logs
+    monkeypatch.setattr(gru.Gru, "logs", lambda self, w, h: calls.append(len(w)) or logs(self, w, h))
+    whole = model.score(word, first)
+    assert sum(calls) == 306 and len(calls) == 1
+    monkeypatch.setattr(gru, "ROWS", 10)
+    assert model.score(word, first) == pytest.approx(whole, rel=1e-6)
+    assert max(calls[1:]) <= 10
