@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chosen_path, merkle, token_alignment
+from lodestrata.llm import chosen_path, gru, merkle, token_alignment
 from lodestrata.llm.catalog import QUERIES
 from tests.llm import plain
 
@@ -201,3 +202,59 @@ def test_queries_equal_plain(spark, sf_dir, pair, name):
         assert rows_of(QUERIES[name](spark, sf_dir), *COPIES) == copies(plain.components(rows, 4, 80))
     else:
         assert rows_of(QUERIES[name](spark, sf_dir), *ALIGNED) == sorted(plain.alignment(rows, pair.opened()), key=str)
+
+
+def test_sets_of_a_chunk_are_tested_together():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n)).astype(np.uint64) for n in rng.integers(1, 70, 80)]
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    key = np.concatenate(sets)
+    shared = chosen_path._Shared(key[: first[30]], first[:31], key, first)
+    for j in (np.arange(80), np.arange(5, 9), np.array([79])):  # all, and few enough to be picked out
+        for i in range(30):
+            wanted = [chosen_path._similar(sets[i], sets[x], 70) for x in j]
+            assert shared.similar(i, j, 70).tolist() == wanted
+
+
+def test_estimates_count_bins():
+    rng = np.random.default_rng(4)
+    a, b = (rng.integers(0, 3, (7, chosen_path.BINS)).astype(np.uint8) for _ in range(2))
+    same, either = ((a == b) & (a > 0)).sum(1), ((a > 0) | (b > 0)).sum(1)
+    assert (chosen_path._estimates(a, b) == same / either).all()
+    assert (chosen_path._estimates(a[:, None], b[None])[2, 2] == chosen_path._estimates(a, b)[2]).all()
+    assert chosen_path._estimates(a * 0, b * 0).tolist() == [0] * 7
+
+
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(6)
+    model = gru.create(np.array([9.0, 5, 4, 2, 1, 1]), 3.0, hidden=4)
+    for n in gru.NAMES:
+        x = getattr(model, n)
+        setattr(model, n, rng.normal(0, 0.3, x.shape))
+    words, start = rng.integers(0, 7, (5, 3)), 7
+    before = np.vstack([np.full(3, start), words[:-1]])
+    before[3, 1] = start  # a text that ends within the window
+
+    def loss():
+        h, total = np.zeros((3, 4)), 0.0
+        E, U = gru._by_gate(model.E), gru._by_gate(model.U)
+        for t in range(5):
+            h[before[t] == start] = 0
+            h = gru._step(E.take(before[t], axis=1), np.matmul(h, U), h)[2]
+            total -= model.logs(words[t], h).sum()
+        return total / words.size
+
+    found = gru._window(model, words, before, np.zeros((3, 4), np.float32), start)[1]
+    rows, sums = found["E"]
+    assert rows.tolist() == np.unique(before).tolist()
+    found["E"] = np.zeros_like(model.E)
+    found["E"][rows] = sums
+    for n in gru.NAMES:
+        weights = getattr(model, n)
+        for at in np.ndindex(weights.shape):
+            kept, ends = weights[at], []
+            for step in (1e-5, -1e-5):
+                weights[at] = kept + step
+                ends.append(loss())
+            weights[at] = kept
+            assert abs((ends[0] - ends[1]) / 2e-5 - found[n][at]) < 1e-3, (n, at)
