@@ -29,22 +29,26 @@ def classes_of(counts: np.ndarray, n: int = CLASSES) -> np.ndarray:
 
 
 def _by_gate(weights: np.ndarray) -> np.ndarray:
-    """(rows, 3 k) -> (3, rows, k): a gate's weights side by side, so that its numbers are, too."""
+    """(rows, 3 k) -> (3, rows, k): a gate's weights side by side, so that its numbers are, too.
+
+    Those of the two gates are halved, as their sigmoid by tanh takes them.
+    """
     rows, k = len(weights), weights.shape[1] // 3
-    return np.ascontiguousarray(weights.reshape(rows, 3, k).transpose(1, 0, 2))
+    out = np.ascontiguousarray(weights.reshape(rows, 3, k).transpose(1, 0, 2))
+    out[:2] *= 0.5
+    return out
 
 
-def _step(x: np.ndarray, u: np.ndarray, h: np.ndarray):
+def _step(x: np.ndarray, u: np.ndarray, h: np.ndarray, gates=None, new=None, after=None):
     """Inputs and recurrent part by gate, and the state -> gates, candidate and next state."""
-    gates = x[:2] + u[:2]
-    gates *= 0.5
+    gates = np.add(x[:2], u[:2], out=gates)
     np.tanh(gates, out=gates)
     gates *= 0.5
     gates += 0.5
-    new = gates[1] * u[2]
+    new = np.multiply(gates[1], u[2], out=new)
     new += x[2]
     np.tanh(new, out=new)
-    after = h - new
+    after = np.subtract(h, new, out=after)
     after *= gates[0]
     after += new
     return gates, new, after
@@ -72,11 +76,12 @@ class Gru:
     def logs(self, word: np.ndarray, h: np.ndarray) -> np.ndarray:
         """Natural log of P(class), times P(word | class) within the shortlist."""
         own = self.class_of(word)
-        logits = h @ self.A
-        logits += self.a
-        logits -= logits.max(axis=1, keepdims=True)
-        out = logits[np.arange(len(word)), own]
-        out -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        # a column a word: sums and maxima then run over whole rows
+        logits = self.A.T @ h.T
+        logits += self.a[:, None]
+        logits -= logits.max(axis=0)
+        out = logits[own, np.arange(len(word))]
+        out -= np.log(np.exp(logits, out=logits).sum(axis=0))
         # the words of a class side by side
         order = np.argsort(own.astype(np.uint16), kind="stable")
         cut = np.searchsorted(own[order], np.arange(len(self.bounds)))
@@ -86,11 +91,11 @@ class Gru:
             if hi - lo == 1:
                 continue
             rows = slice(cut[c], cut[c + 1])
-            inner = h[rows] @ self.W[:, lo:hi]
-            inner += self.b[lo:hi]
-            inner -= inner.max(axis=1, keepdims=True)
-            inside[rows] += inner[np.arange(len(inner)), word[rows] - lo]
-            inside[rows] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+            inner = self.W[:, lo:hi].T @ h[rows].T
+            inner += self.b[lo:hi, None]
+            inner -= inner.max(axis=0)
+            inside[rows] += inner[word[rows] - lo, np.arange(inner.shape[1])]
+            inside[rows] -= np.log(np.exp(inner, out=inner).sum(axis=0))
         out[order] = inside
         return out
 
@@ -195,72 +200,88 @@ def train(
         h = np.zeros((streams, k), np.float32)
         for lo in range(0, steps, WINDOW):
             h, gradient = _window(model, words[lo : lo + WINDOW], before[lo : lo + WINDOW], h, start)
+            # of E only the rows of words that were read have a gradient
+            rows, gradient["E"] = gradient["E"]
             for n in NAMES:
-                g = gradient[n]
+                g, at = gradient[n], rows if n == "E" else slice(None)
                 np.clip(g, -1, 1, out=g)
-                memory[n] += g * g
-                getattr(model, n)[...] -= rate * g / np.sqrt(memory[n])
+                kept = memory[n][at]
+                kept += g * g
+                memory[n][at] = kept
+                g *= np.float32(rate)
+                g /= np.sqrt(kept)
+                getattr(model, n)[at] -= g
     return model
 
 
 def _window(model: Gru, words, before, h, start):
+    """The state after some steps, and the gradients; that of E as its rows and their sums."""
     k, scale = model.hidden, np.float32(1 / words.size)
-    kept, states, inputs, U = [], [], _by_gate(model.E).take(before, axis=1), _by_gate(model.U)
-    for t in range(len(words)):
-        ended = before[t] == start
-        if ended.any():
-            h = np.where(ended[:, None], np.float32(0), h)
-        u = np.matmul(h, U)
-        (z, r), new, after = _step(inputs[:, t], u, h)
-        kept.append((h, u[2], z, r, new))
-        h = after
-        states.append(h)
-    flat, word = np.concatenate(states), words.ravel()
-    gradient = {n: np.zeros_like(getattr(model, n)) for n in NAMES}
-    d_flat = _output_gradient(model, word, flat, gradient, scale)
-    d_states = d_flat.reshape(len(words), -1, k)
+    inputs, U = _by_gate(model.E).take(before, axis=1), _by_gate(model.U)
+    steps, streams = words.shape
+    gates = np.empty((steps, 2, streams, k), np.float32)
+    olds, turned, news, states = (np.empty((steps, streams, k), np.float32) for _ in range(4))
+    ended = before == start
+    some = ended.any(axis=1)
+    for t in range(steps):
+        olds[t] = h
+        if some[t]:
+            olds[t][ended[t]] = 0
+        u = np.matmul(olds[t], U)
+        turned[t] = u[2]
+        h = _step(inputs[:, t], u, olds[t], gates[t], news[t], states[t])[2]
+    word = words.ravel()
+    gradient = {n: np.zeros_like(getattr(model, n)) for n in NAMES if n != "E"}
+    d_states = _output_gradient(model, word, states.reshape(-1, k), gradient, scale).reshape(states.shape)
+    # what an error of a state is multiplied by on its way to the gates and the candidate
+    z, r = gates[:, 0], gates[:, 1]
+    rest = 1 - z
+    to_z = olds - news
+    to_z *= z
+    to_z *= rest
+    to_new = news * news
+    np.subtract(1, to_new, out=to_new)
+    to_new *= rest
+    to_r = 1 - r
+    to_r *= r
+    to_r *= turned
     carried = np.zeros_like(h)
-    d_x, d_u = (np.empty((*before.shape, 3 * k), np.float32) for _ in range(2))
-    for t in reversed(range(len(words))):
-        old, u_new, z, r, new = kept[t]
-        d = d_states[t] + carried
-        rest = 1 - z
-        d_new = d * rest
-        d_new *= 1 - new * new
-        d_z = old - new
-        for factor in (d, z, rest):
-            d_z *= factor
-        d_r = d_new * u_new
-        d_r *= r
-        d_r *= 1 - r
-        d_x[t, :, :k] = d_u[t, :, :k] = d_z
-        d_x[t, :, k : 2 * k] = d_u[t, :, k : 2 * k] = d_r
-        d_x[t, :, 2 * k :] = d_new
-        d_u[t, :, 2 * k :] = d_new * r
-        d *= z
-        carried = d + d_u[t] @ model.U.T
-        carried[before[t] == start] = 0
-    olds = np.concatenate([row[0] for row in kept])
-    gradient["U"] += olds.T @ d_u.reshape(-1, 3 * k)
-    # sums by input word
+    back, d_new = np.ascontiguousarray(model.U.T), np.empty_like(states)
+    d_u = np.empty((steps, streams, 3 * k), np.float32)
+    for t in reversed(range(steps)):
+        d = d_states[t]
+        d += carried
+        np.multiply(d, to_z[t], out=d_u[t, :, :k])
+        np.multiply(d, to_new[t], out=d_new[t])
+        np.multiply(d_new[t], to_r[t], out=d_u[t, :, k : 2 * k])
+        np.multiply(d_new[t], r[t], out=d_u[t, :, 2 * k :])
+        carried = d_u[t] @ back
+        d *= z[t]
+        carried += d
+        if some[t]:
+            carried[ended[t]] = 0
+    gradient["U"] += olds.reshape(-1, k).T @ d_u.reshape(-1, 3 * k)
+    # sums by input word; the candidate's input is not turned by the gate
+    d_u[:, :, 2 * k :] = d_new
     order = np.argsort(before.ravel().astype(np.uint16) if start < 1 << 16 else before, axis=None, kind="stable")
     at = before.ravel()[order]
     head = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    gradient["E"][at[head]] = np.add.reduceat(d_x.reshape(-1, 3 * k).take(order, axis=0), head, axis=0)
+    gradient["E"] = at[head], np.add.reduceat(d_u.reshape(-1, 3 * k).take(order, axis=0), head, axis=0)
     return h, gradient
 
 
 def _output_gradient(model: Gru, word, h, gradient, scale):
     own = model.class_of(word)
-    logits = h @ model.A + model.a
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits, out=logits)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(word)), own] -= 1
-    p *= scale
-    gradient["A"] += h.T @ p
-    gradient["a"] += p.sum(axis=0)
-    d_h = p @ model.A.T
+    # a column a word, as in `logs`
+    p = model.A.T @ h.T
+    p += model.a[:, None]
+    p -= p.max(axis=0)
+    np.exp(p, out=p)
+    p *= scale / p.sum(axis=0)
+    p[own, np.arange(len(word))] -= scale
+    gradient["A"] += h.T @ p.T
+    gradient["a"] += p.sum(axis=1)
+    d_h = p.T @ model.A.T
     # the words of a class side by side
     order = np.argsort(own.astype(np.uint16), kind="stable")
     cut = np.searchsorted(own[order], np.arange(len(model.bounds)))
@@ -269,15 +290,14 @@ def _output_gradient(model: Gru, word, h, gradient, scale):
     for c in np.flatnonzero(np.diff(cut)):
         rows = slice(cut[c], cut[c + 1])
         lo, hi = model.bounds[c], model.bounds[c + 1]
-        q = h[rows] @ model.W[:, lo:hi]
-        q += model.b[lo:hi]
-        q -= q.max(axis=1, keepdims=True)
+        q = model.W[:, lo:hi].T @ h[rows].T
+        q += model.b[lo:hi, None]
+        q -= q.max(axis=0)
         np.exp(q, out=q)
-        q /= q.sum(axis=1, keepdims=True)
-        q[np.arange(len(q)), word[rows] - lo] -= 1
-        q *= scale
-        gradient["W"][:, lo:hi] += h[rows].T @ q
-        gradient["b"][lo:hi] += q.sum(axis=0)
-        inside[rows] = q @ model.W[:, lo:hi].T
+        q *= scale / q.sum(axis=0)
+        q[word[rows] - lo, np.arange(q.shape[1])] -= scale
+        gradient["W"][:, lo:hi] += h[rows].T @ q.T
+        gradient["b"][lo:hi] += q.sum(axis=1)
+        inside[rows] = q.T @ model.W[:, lo:hi].T
     d_h[order] += inside
     return d_h

@@ -225,10 +225,10 @@ def fit(blocks: DataFrame, key, counts, tokens: int) -> gru.Gru:
             for batch in batches:
                 for w, v, used, length in zip(*batch.columns, strict=True):
                     at = _unpacked(w.as_py(), length.values)
-                    word = number(np.frombuffer(v.as_py(), np.uint64))[at]
+                    word = number(np.frombuffer(v.as_py(), np.uint64))
                     first = np.concatenate([[0], np.cumsum(length.values.to_numpy())])
                     own = np.flatnonzero(used.values.to_numpy(zero_copy_only=False))[turn::ROUNDS]
-                    texts = [word[first[i] : first[i + 1]] for i in own]
+                    texts = [word.take(at[first[i] : first[i + 1]]) for i in own]
                     n = sum(map(len, texts))
                     at_once = min(max(n // STREAM_TOKENS, gru.STREAMS), MOST_STREAMS)
                     gru.train(model, texts, EPOCHS, memory=memory, at_once=at_once)
@@ -285,7 +285,7 @@ def score(docs: DataFrame, training: Column, shortlist: int = SHORTLIST) -> Data
         "block",
         "place",
         F.sum("n").over(by_word).alias("c"),
-        (F.row_number().over(by_word.orderBy("block")) == 1).alias("head"),
+        (F.min("block").over(by_word) == F.col("block")).alias("head"),
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
 
