@@ -128,8 +128,14 @@ def ascii_fold(text: Column | str) -> Column:
     """
     single, letters, longer = _ascii_forms()
     c = as_column(text)
+    many = "".join(longer)
+    # What is left besides ASCII is short in most texts; only there are the longer forms looked for, by a
+    # table of characters: a class of thousands of them is tried one after the other.
+    plain = F.translate(c, single, letters)
+    rest = F.regexp_replace(plain, r"[\x00-\x7F]+", "")
+    special = F.char_length(F.translate(rest, many, "")) < F.char_length(rest)
     forms = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
-    apart = F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(forms, x), x))
-    special = F.regexp_like(c, F.lit("[" + "".join(longer) + "]"))
-    spelt = F.when(special, F.array_join(apart, "")).otherwise(c)
-    return F.regexp_replace(F.translate(spelt, single, letters), r"[^\x00-\x7F]", "")
+    apart = F.transform(F.split(plain, ""), lambda x: F.when(x > "\x7f", F.element_at(forms, x)).otherwise(x))
+    spelt = F.when(special, F.array_join(apart, "")).otherwise(plain)
+    dropped = F.regexp_replace(spelt, r"[^\x00-\x7F]+", "")
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(dropped)

@@ -250,3 +250,13 @@ def test_instants_do_not_depend_on_the_session_zone(spark):
             assert all(r.t == r.back and (r.local - r.t).total_seconds() == 7 * 3600 for r in rows)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ascii_fold_looks_characters_up(spark):
+    """Every character with a form, alone and among others; no class of thousands is tried one by one."""
+    forms = [chr(p) for p in range(0x80, 0x30000) if unicodedata.normalize("NFKD", chr(p)).encode("ascii", "ignore")]
+    texts = [*forms, "".join(forms), "plain \x7f text", "", "漢字 ½ cup of ﬂour — naïve 😀\x80"]
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").select("x", X.ascii_fold("x").alias("y"))
+    for r in rows.collect():
+        assert r.y == unicodedata.normalize("NFKD", r.x).encode("ascii", "ignore").decode(), r.x
+    assert "RLIKE" not in rows._jdf.queryExecution().analyzed().toString()
