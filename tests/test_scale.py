@@ -172,3 +172,34 @@ def test_stages_are_packed(spark, scratch):
 
     assert staged.count() == 20_000
     assert size(staged.inputFiles()) < 0.7 * size(spark.read.parquet(f"{scratch}/plain").inputFiles())
+
+
+def test_shuffles_of_a_stage_go_when_it_is_written(spark):
+    import time
+
+    from lodestrata.session import stage
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = {files.apply(i).getName() for i in range(files.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffles()
+    staged = stage(spark.range(1_000).repartition(3, "id"))
+    deadline = time.time() + 20
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert staged.count() == 1_000
+
+
+def test_names_of_suppliers_are_not_dealt_with_the_lines(spark, scratch):
+    d = little_tables(spark, f"{scratch}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = roles.track_rows(spark, d)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("Exchange hash" in x and "suppkey" in x for x in plan.split("\n"))

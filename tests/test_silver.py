@@ -2,6 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestrata.plans import bronze, silver
 
@@ -141,3 +142,26 @@ def test_message_keys(spark):
     assert bronze.as_messages(rows).select("raw_id").distinct().count() == 2
     with pytest.raises(ValueError):
         bronze.route_topics(rows, {"radio": "t"}, "b")
+
+
+def test_responses_parsed_once_give_what_the_whole_way_gives(spark):
+    """Object, array and odd responses: the items of explode_response and explode_items are the same."""
+    from lodestrata.operators.documents import explode_items, explode_response
+
+    doc = "STRUCT<id STRING, n INT, artists ARRAY<STRUCT<id STRING>>>"
+    one, two = '{"id":"a","n":1,"artists":[{"id":"x"},null]}', '{"id":"b","n":"no","artists":{}}'
+    items = [
+        *(one, two, f"[{one},{two}]", f'["junk",5,null,[{one}],{two},{{}}]', "[]", "{}", "null", "5"),
+        *('"text"', '"{\\"id\\":\\"s\\"}"', f'{{"id":"c","items":{one}}}', f'[{{"items":[{one}]}}]'),
+    ]
+    texts = [f'{{"tracks":{{"limit":"x","items"{gap}{i},"total":2}}}}' for i in items for gap in (":", " : \n ")]
+    texts += [f'{{"items":{one}}}', f'{{"tracks":{{"items":{one}', f'{{"tracks":{{"items":[{one}', "{}", "", None, "["]
+    texts += [f'{{"tracks":{{"items":{one},"items":[{two}]}}}}', f'{{"tracks":{{"items":{one}}},"q":"\\"items\\":[1]"}}']
+    texts += [f"{{'tracks':{{'items':{one}}}}}", f'{{"tracks":[{{"items":{one}}}]}}', f'{{"tracks":{{"items":[{one}]}}}} x']
+    bronze = spark.createDataFrame(
+        [(str(i), None, t) for i, t in enumerate(texts)], "raw_id string, ingested_at timestamp_ntz, raw_json string"
+    )
+    whole = F.from_json("raw_json", "STRUCT<tracks STRUCT<items STRING>>")["tracks"]["items"]
+    plain = sorted(map(str, explode_items(bronze, whole, doc).collect()))
+    assert sorted(map(str, explode_response(bronze, ("tracks", "items"), doc).collect())) == plain
+    assert len(plain) > 20
