@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import song_id
 from lodestrata.operators.containment import (
+    LEVELS,
     holds,
+    level_of,
     of_used_grams,
     part_grams,
     parts_of,
@@ -37,7 +39,7 @@ from lodestrata.operators.containment import (
 )
 from lodestrata.plans import mapping
 from lodestrata.plans.mapping import SONG
-from lodestrata.session import stage
+from lodestrata.session import spread, stage
 from lodestrata.sinks.store import Change, Store, Table
 
 PARTS = ["song_title_normalized", "artist_name_normalized"]
@@ -82,8 +84,7 @@ class Matcher:
         tracks = stage(tracks.select(*self.store.tables["tracks"].struct().names), "tracks")
         videos = stage(videos.select(*self.store.tables["videos"].struct().names), "videos")
         fresh, left = self._take_tracks(change, tracks)
-        titles = stage(self._take_videos(change, videos), "fresh_titles")
-        known = self._known_songs(change, titles)
+        known = self._known_songs(change, *self._take_videos(change, videos))
         found = self._all_titles(change, fresh).unionByName(known).distinct()
         found = stage(found, "found")
         old = change.read("pairs", self.store.touched("pairs", found))
@@ -135,25 +136,32 @@ class Matcher:
         change.merge("tracks", tracks)
         return fresh, left.select("song_id")
 
-    def _take_videos(self, change: Change, videos: DataFrame) -> DataFrame:
-        """Store the videos and file the grams of new titles; (video_id, title_normalized)."""
+    def _take_videos(self, change: Change, videos: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Store the videos and file the grams of new titles.
+
+        (video_id, title_normalized) of these, their (gram, video_id) and (gram, n). The grams are made
+        once, over all cores: the titles of a batch may fit a single split of a file.
+        """
         before = change.read("videos", self.store.touched("videos", videos))
         before = before.select("video_id", "title_normalized")
         titles = videos.select("video_id", "title_normalized")
         titles = stage(titles.join(before, ["video_id", "title_normalized"], "left_anti"), "titles")
         change.merge("videos", videos)
-        grams = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
-        change.append("title_grams", grams)
-        change.append("gram_counts", grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
-        return titles
-
-    def _known_songs(self, change: Change, titles: DataFrame) -> DataFrame:
+        grams = spread(titles).select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
+        grams = change.append("title_grams", grams)
+        counts = change.append("gram_counts", grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+        return titles, grams, counts
+
+    def _known_songs(
+        self, change: Change, titles: DataFrame, grams: DataFrame, counts: DataFrame
+    ) -> DataFrame:
         """Pairs of new titles and songs that are known already."""
-        probes = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
-        buckets = self.store.touched("song_grams", probes)
+        buckets = self.store.touched("song_grams", counts) if change.folders("song_grams") else []
         self.opened["song_grams"] = change.files("song_grams", buckets)
+        if not self.opened["song_grams"]:
+            return titles.sparkSession.createDataFrame([], "song_id STRING, video_id STRING")
         names = change.read("song_grams", buckets)
-        met = self._met(self._near(titles, names), titles)
+        met = self._met(self._near(grams, names), titles)
         songs = change.read("songs", self.store.touched("songs", met)).select(*SONG)
         return met.join(songs, SONG).select("song_id", "video_id")
 
@@ -184,12 +192,15 @@ class Matcher:
         texts = change.read("videos", store.touched("videos", near)).select("video_id", "title_normalized")
         held = near.join(texts, "video_id").filter(F.contains("title_normalized", "_part")).drop("_part")
         held = stage(held.distinct(), "held")
-        return self._met(self._near(held, filed.drop("n")), held).join(some, SONG).select("song_id", "video_id")
-
-    def _near(self, titles: DataFrame, names: DataFrame) -> DataFrame:
-        """(video_id, _part, _use): names whose gram a title has."""
-        probes = titles.select("video_id", F.explode(text_grams_of(F.col("title_normalized"))).alias("gram"))
-        return of_used_grams(probes, names, "gram").join(names, "gram").drop("gram").distinct()
+        # Only grams of the lengths that the new names are filed under are asked for.
+        levels = filed.agg(F.collect_set(level_of(F.col("_part")))).first()[0] or LEVELS[:1]
+        probes = text_grams_of(F.col("title_normalized"), levels)
+        probes = spread(held).select("video_id", F.explode(probes).alias("gram"))
+        return self._met(self._near(probes, filed.drop("n")), held).join(some, SONG).select("song_id", "video_id")
+
+    def _near(self, grams: DataFrame, names: DataFrame) -> DataFrame:
+        """(video_id, _part, _use): names whose gram a title has, of (video_id, gram)."""
+        return of_used_grams(grams, names, "gram").join(names, "gram").drop("gram").distinct()
 
     def _met(self, near: DataFrame, titles: DataFrame) -> DataFrame:
         """Candidates (video_id, _part, _use) -> the songs that a title would match, and the video."""

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestrata.operators.merge import insert_if_absent, merge_upsert
-from lodestrata.session import delete_path, folder_names, path_exists
+from lodestrata.session import delete_path, dropped_shuffles, folder_names, path_exists
 
 _STATE = "name STRING, bucket INT, folder STRING, buckets INT"
 
@@ -147,14 +147,19 @@ class Change:
         schema = self.store.tables[name].struct()
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         rows = rows.withColumn("bucket", self.store.bucket(name))
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        with dropped_shuffles(self.store.spark):
+            rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
         found = folder_names(self.store.spark, f"{path}/bucket=*")
         return {int(f.removeprefix("bucket=")): folder for f in found}
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Add rows; nothing that is there is read or rewritten."""
-        for bucket, folder in self._write(name, rows).items():
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """Add rows; nothing that is there is read or rewritten. The rows, read from where they were written."""
+        added = self._write(name, rows)
+        for bucket, folder in added.items():
             self._folders.setdefault(name, {}).setdefault(bucket, []).append(folder)
+        view = self._view()
+        view._folders = {name: {bucket: [folder] for bucket, folder in added.items()}}
+        return view.read(name)
 
     def replace(self, name: str, rows: DataFrame, buckets: Sequence[int] | None = None) -> None:
         """The rows take the place of the whole table, or of these buckets."""

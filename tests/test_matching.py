@@ -226,3 +226,29 @@ def test_song_id_joins_spellings(linked):
     assert ids["t1"] == ids["t2"] != ids["t3"]
     expected = tracks.limit(1).select(song_id(F.lit("love"), F.lit("art band")).alias("s")).first().s
     assert ids["t1"] == expected
+
+
+def test_grams_of_titles_are_made_once_and_over_all_cores(spark, scratch, monkeypatch):
+    """A batch of titles in one file is dealt out, and later steps read the grams that were filed."""
+    from lodestrata.plans import matching
+
+    made, dealt = [], []
+    plain, spread = matching.text_grams_of, matching.spread
+    monkeypatch.setattr(matching, "text_grams_of", lambda *a: made.append(len(a)) or plain(*a))
+    monkeypatch.setattr(matching, "spread", lambda df: dealt.append(1) or spread(df))
+    tracks = spark.createDataFrame(
+        [(f"t{i}", f"Song {i}", "", f"s{i}", f"song {i}", "band") for i in range(3)],
+        "track_id string, track_name string, isrc_code string, " + matching._SONG,
+    )
+    tracks = tracks.withColumn("song_id", matching.song_id(*matching.PARTS))
+    videos = spark.createDataFrame(
+        [(f"v{i}", "T", "C", 1, f"band song {i % 4} live") for i in range(8)], matching._VIDEO
+    )
+    m = matching.Matcher(spark, f"{scratch}/m", buckets=2)
+    m.update(tracks, videos.filter("video_id < 'v4'"))
+    m.update(tracks, videos.filter("video_id >= 'v4'"))
+    # Of all levels where they are filed, of the names' levels where new names are looked for.
+    assert made == [1, 2] * 2 and len(dealt) == 4
+    pairs = {(r.song_id, r.video_id) for r in m.store.read("pairs").collect()}
+    ids = {r.song_title_normalized: r.song_id for r in tracks.collect()}
+    assert pairs == {(ids[f"song {i % 4}"], f"v{i}") for i in range(8) if i % 4 < 3}
