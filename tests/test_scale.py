@@ -203,3 +203,19 @@ def test_names_of_suppliers_are_not_dealt_with_the_lines(spark, scratch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not any("Exchange hash" in x and "suppkey" in x for x in plan.split("\n"))
+
+
+def test_a_manual_mapping_is_made_in_parts_and_not_staged(spark):
+    from lodestrata.catalog import link
+
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(rnd.choice("ab"), f"s{i}") for i in range(40)] + [(None, "n")], "k string, song_id string")
+    right = spark.createDataFrame([(rnd.choice("abc"), i) for i in range(30)] + [(None, 99)], "k string, v int")
+    made, link.MADE_ROWS = link.MADE_ROWS, 50
+    try:
+        joined = link._all_of(left, right, "k", "song_id")
+    finally:
+        link.MADE_ROWS = made
+    plain = left.join(right, "k")
+    assert rows(joined.select(*plain.columns)) == rows(plain)
+    assert joined.select(F.spark_partition_id()).distinct().count() > 2
